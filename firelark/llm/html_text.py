@@ -4,7 +4,8 @@ Method. The tokens of a page are its tags (with their path, class and id) and it
 an occurrence vector: how often it occurs on each page. Tokens with the same vector form an equivalence class. A class is valid if it
 is large and frequent (`min_class` tokens on `min_pages` pages and a `min_share` of the host's) and ordered: its tokens
 come in the same order on all its pages. Valid classes nest by position into the template; what stands between
-their tokens are slots. Text that is itself a token of a valid class is template, not content. Slots whose enclosing template tags
+their tokens are slots. Text that is itself a token of a valid class is template, not content, unless it stands in an <article>
+or <main>. Slots whose enclosing template tags
 (or, on pages without a template, plain tags) are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments are
 dropped, by tag name, role or the words of class and id; the rest, within <article> or <main> where the page has one,
 is the main text.
@@ -42,7 +43,7 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dial
 # Words of class and id names that mark what is not main text.
 WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promoted", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "sidebar", "aside", "widget", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "respond", "pagination", "pager", "toolbar", "search", "form", "skip", "tracking"}
 # p, li, td, ... end when one of these begins
-ENDS = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
+ENDS = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 SCOPE = {"article", "main", "div", "section", "td", "ul", "ol", "table", "nav", "footer", "aside", "header", "form", "body", "html"}
 _NAME = re.compile(r"[a-zA-Z]+")
 _SPACE = re.compile(r"[\s​﻿]+")
@@ -131,7 +132,8 @@ def extract(page: str | None, template: frozenset | set = frozenset()) -> str:
     """template: hashes of the text tokens of the host's valid classes."""
     _, found = blocks(page)
     inside = [b for b in found if b[2]] or [b for b in found if b[3]] or found
-    kept = [b[0] for b in inside if not b[1] and not (template and _hash(b[4]) in template)]
+    # what a page itself marks as its article stays, even a line that all pages of the host have
+    kept = [b[0] for b in inside if not b[1] and (b[2] or b[3] or not template or _hash(b[4]) not in template)]
     return "\n".join(kept)
 
 

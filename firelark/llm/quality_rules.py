@@ -5,7 +5,7 @@ estimates each rule's accuracy, given the hidden quality, and the share of good
 posterior probability given its votes (rules independent given quality, abstaining rules without say). It is kept if that is
 `threshold` or more and no base rule fails.
 
-The votes of all documents are first counted by pattern (a partial aggregate); patterns are at most 3 * 2 ** 7, a bound that does
+The votes of all documents are first counted by pattern (a partial aggregate); patterns are at most 2 ** 9, a bound that does
 not depend on the data, and EM runs over them. Texts are read once; their counts are written to the shared folder.
 
 Results: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (counts over the whole text, as in the columns of
@@ -52,14 +52,15 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def votes() -> dict[str, Column]:
-    """Rules: -1 where a text has a defect of junk, 1 where it plainly lacks the commonest one, else 0. Being free of a rare
-    defect says little, so most rules abstain then."""
+    """Rules: -1 where a text has a defect of junk, 1 where it is plain prose, else 0. Being free of one defect says little, so the
+    rules for defects abstain then."""
     n = F.greatest(F.col("n_words"), F.lit(1))
     letters = F.greatest(F.col("word_chars"), F.lit(1))
     per = lambda c: F.col(c) / n
     bad = lambda x: F.when(x, -1).otherwise(0)
     return {
-        "symbols": F.when(per("n_symbols") > 0.25, -1).when(per("n_symbols") < 0.02, 1).otherwise(0),
+        "prose": F.when((per("n_symbols") < 0.02) & (per("n_shouts") < 0.02) & (F.col("n_capitals") / letters < 0.2) & (per("n_repeat_words") < 0.15), 1).otherwise(0),
+        "symbols": bad(per("n_symbols") > 0.25),
         "symbol_chars": bad(F.col("n_symbols") / letters > 0.05),
         "shouts": bad(per("n_shouts") > 0.15),
         "capitals": bad(F.col("n_capitals") / letters > 0.4),
@@ -99,7 +100,7 @@ def quality_rules(docs: DataFrame, threshold: float = 0.5, min_words: int = 50,
     voted = m.select("*", *(v.alias(f"_{r}") for r, v in rules.items()))
     cols = [f"_{r}" for r in rules]
     usable = (F.col("n_words") >= min_words) & (100 * F.col("n_repeat_words") <= max_repeat * F.col("n_words"))
-    counted = voted.where(F.col("n_words") > 0).groupBy(*cols).count().collect()  # 3 * 2 ** 7 rows at most
+    counted = voted.where(F.col("n_words") > 0).groupBy(*cols).count().collect()  # 2 ** 9 rows at most
     share, right = fit([({r: x[f"_{r}"] for r in rules}, x["count"]) for x in counted], list(rules))
     odds = sum((F.col(f"_{r}") * math.log(right[r] / (1 - right[r])) for r in rules), F.lit(math.log(share / (1 - share))))
     out = voted.select("*", (1 / (1 + F.exp(-odds))).alias("quality"), (~usable).alias("base_failed"))

@@ -108,20 +108,20 @@ class Model:
 
 
 def gumbel(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """lambda and K of P(best <= x) = exp(-K n exp(-lambda x)), by maximum likelihood over (best, n)."""
-    if len(best) < 10 or best.std() < 1e-9:
-        return 1.0, 0.1
-    lo, hi = 1e-2, 50.0
+    """lambda and K of P(best <= x) = exp(-K n exp(-lambda x)) by maximum likelihood over texts of n tokens; a best of 0 (no
+    segment) says only that none exceeds 0. Under ten texts with a segment lambda is 1."""
     n = np.maximum(n, 1.0)
-
-    def slope(lam: float) -> float:
-        w = n * np.exp(-lam * (best - best.min()))
-        return 1 / lam - best.mean() + (best * w).sum() / w.sum()
-
+    some = best > 0
+    x, m, rest = best[some], n[some], float(n[~some].sum())
+    rate = lambda lam: (len(x) + 1) / (float((m * np.exp(-lam * x)).sum()) + rest + 1)
+    if len(x) < 10 or x.std() < 1e-9:
+        return 1.0, rate(1.0)
+    lo, hi = 1e-2, 50.0
     for _ in range(80):
-        mid = math.sqrt(lo * hi)
-        lo, hi = (mid, hi) if slope(mid) > 0 else (lo, mid)
-    return lo, float(len(best) / (n * np.exp(-lo * best)).sum())
+        lam = math.sqrt(lo * hi)
+        slope = len(x) / lam - x.sum() + rate(lam) * float((m * x * np.exp(-lam * x)).sum())
+        lo, hi = (lam, hi) if slope > 0 else (lo, lam)
+    return lo, rate(lo)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
             yield pd.DataFrame({"y": [o[0] for o in out], "n": [o[1] for o in out], "best": [max(o[2], default=0.0) for o in out], "all": [o[2] for o in out]})
 
     seen = train.mapInPandas(best, "y int, n double, best double, all array<double>").toPandas()
-    clean = seen[(seen["y"] == 0) & (seen["best"] > 0)]
+    clean = seen[seen["y"] == 0]
     model.lam, model.k = gumbel(clean["best"].to_numpy(), clean["n"].to_numpy())
     x = np.array([model.features(n, [(0, 0, s) for s in all_]) for n, all_ in zip(seen["n"], seen["all"])]).reshape(-1, 2)
     model.weights = tuple(logistic(x, seen["y"].to_numpy(float)))
