@@ -195,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
     clean = seen[seen["y"] == 0]
     model.lam, model.k = gumbel(clean["best"].to_numpy(), clean["n"].to_numpy())
     x = np.array([model.features(n, [(0, 0, s) for s in all_]) for n, all_ in zip(seen["n"], seen["all"])]).reshape(-1, 2)
-    model.weights = tuple(logistic(x, seen["y"].to_numpy(float)))
+    model.weights = tuple(logistic(x, seen["y"].to_numpy(float), 0.1))
     return model
 
 
