@@ -201,6 +201,7 @@ def templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.5, min_
 
 
 def main_text(pages: DataFrame, **options) -> DataFrame:
+    shared.small_batches(pages.sparkSession)
     p = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"), host_of(F.col("url")).alias("host"))
     found = shared.written(templates(p, **options), "template")
     spark = pages.sparkSession

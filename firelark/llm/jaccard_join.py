@@ -1,7 +1,7 @@
 """N-gram Jaccard join by parity sketches.
 
-Method. A text is the set of its k-word shingles. Within a band of set sizes, sets that reach the similarity
-threshold differ in at most d elements. The shingles (64-bit hashes) are dealt to m > d blocks by value, and the
+Method. A text is the set of its k-word shingles. Linked sets of which the smaller has a size in some band differ in at most d
+elements. The shingles (64-bit hashes) are dealt to m > d blocks by value, and the
 hashes of a block are XORed: a sketch of m words in which each differing element changes at most one word, so
 the Hamming distance bounds the symmetric difference from below. By the pigeonhole principle linked sets agree
 in at least m - d blocks, and these hold the same shingles. Blocks of fewer than `least` shingles are keys only
@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from firelark.llm import shared
 from firelark.llm.words import chunks
 
-CLASS = 2048  # sets compared at once
-FLUSH = 1_500_000  # keys a map task holds before it sends them
+CLASS = 2048  # sets compared at once,
+CLASS_SHINGLES = 1 << 21  # and about their shingles
+FLUSH = 600_000  # keys a map task holds before it sends them
 LOCAL_HOT = 16  # sets that share a key within a map task and are still all sent
 
 
@@ -55,7 +56,8 @@ def sets_of(col, k: int):
 
 
 def bands(num: int, den: int, ratio: float) -> list[tuple[int, int, int]]:
-    """(least size, largest size, d) of the bands of set sizes; d: largest symmetric difference of linked sets."""
+    """(least size, largest size, d) of the bands of set sizes. d: the largest symmetric difference of linked sets of which the smaller is
+    in the band; it is at most (den - num) / num of their intersection, and so of the smaller set."""
     out, lo = [], 1
     while lo < 1 << 40:
         hi = max(lo, int(lo * ratio))
@@ -65,12 +67,12 @@ def bands(num: int, den: int, ratio: float) -> list[tuple[int, int, int]]:
 
 
 def block_keys(u: np.ndarray, sizes, band_at, num: int, den: int, slack: float, least: int) -> list[np.ndarray]:
-    """Keys of one set in its bands: its own, and the next one if a linked set can lie there."""
+    """Keys of one set in its bands: its own, and those below where a smaller linked set can lie."""
     n, out = len(u), []
     at = int(np.searchsorted(band_at, n, "right")) - 1
-    for b in (at, at + 1):
-        lo, _, d = sizes[b]
-        if b > at and n * den < lo * num:
+    for b in range(at, -1, -1):
+        _, hi, d = sizes[b]
+        if b < at and n * num > hi * den:
             break
         if d == 0:
             continue  # only equal sets link there
@@ -198,10 +200,10 @@ def _matched(rows: DataFrame) -> DataFrame:
 
 def bit_sketches(sets: list[np.ndarray], bits: int) -> np.ndarray:
     """Parity sketches: bit (hash mod bits) is flipped by each element; rows of 64-bit words."""
-    out = np.zeros((len(sets), bits), np.uint8)
+    out = np.zeros((len(sets), bits // 8), np.uint8)
     for i, u in enumerate(sets):
-        out[i] = np.bincount((u % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(out, axis=1).view(np.uint64)
+        out[i] = np.packbits((np.bincount((u % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8))
+    return out.view(np.uint64)
 
 
 def link(sets: list[np.ndarray], num: int, den: int, split: int = 0, label: np.ndarray | None = None) -> np.ndarray:
@@ -241,18 +243,19 @@ def link(sets: list[np.ndarray], num: int, den: int, split: int = 0, label: np.n
     return label
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, ratio: float = 1.5) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, ratio: float = 1.25) -> DataFrame:
     """Components of documents whose k-word shingle sets have a Jaccard similarity of num / den or more."""
     spark = docs.sparkSession
-    slack, least = (0.25, 3) if 10 * num >= 9 * den else (0.5, 2)
+    slack, least = (0.25, 3) if 10 * num >= 9 * den else (0.3, 2)
+    shared.small_batches(spark)
     buckets = max(64, 4 * shared.partitions(spark))
     both = shared.written(_matched(_keyed(docs, k, num, den, ratio, slack, least, buckets)), "sketches")
     rows = both.where("kind = 0").select("doc_id", "n", "sig")
     sets = shared.written(rows.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_copies")), "sets")
     classes = shared.connected(both.where("kind = 2").select(F.col("doc_id").alias("a"), F.col("sig").alias("b")))
-    classes = shared.written(classes.join(sets, F.col("id") == F.col("sig")).select("sig", "rep", "comp"), "classes")
-    many = shared.written(classes.groupBy("comp").count().where("count > 1"), "many")
-    member = classes.join(many, "comp").withColumn("parts", F.ceil(F.col("count") / CLASS).cast("int")).withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
+    classes = shared.written(classes.join(sets, F.col("id") == F.col("sig")).select("sig", "rep", "n", "comp"), "classes")
+    many = shared.written(classes.groupBy("comp").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("size")).where("count > 1"), "many")
+    member = classes.join(many, "comp").withColumn("parts", F.greatest(F.ceil(F.col("count") / CLASS), F.ceil(F.col("size") / CLASS_SHINGLES)).cast("int")).withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
     member = shared.written(member.select("rep", "comp", "parts", "part"), "members")
     texts = shared.keep_in_bloom(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", shared.bloom(member, "rep"))
     texts = member.join(texts, F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"])

@@ -24,6 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firelark.llm.shared import small_batches
 from firelark.llm.toxicity import logistic
 
 N_OWN = 12
@@ -195,6 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4_000, max_chars: in
 
 
 def quality_scores(docs: DataFrame, model: Model) -> DataFrame:
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -43,6 +43,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows in an Arrow batch than Spark's 10,000, so that a Python worker holds a few MB of texts at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit integers (the finaliser of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -34,7 +34,7 @@ from firelark.llm import shared
 from firelark.llm.words import chunks, hash_words
 
 HEAD, WINDOW = 26, 25
-FLUSH = 1_000_000  # suffixes that a map task holds before it sends them
+FLUSH = 400_000  # suffixes that a map task holds before it sends them
 
 
 def minimisers(g: np.ndarray, of: np.ndarray, head: int, window: int) -> np.ndarray:
@@ -228,6 +228,7 @@ def _merged(matches: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame, head: int = HEAD, window: int = WINDOW) -> DataFrame:
     """Passages of head + window - 1 words or more that an earlier document (smaller doc_id) has too."""
     spark = docs.sparkSession
+    shared.small_batches(spark)
     least, side = head + window - 1, window - 1
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     buckets = max(64, 4 * shared.partitions(spark))
@@ -260,6 +261,7 @@ def repeated_passages(docs: DataFrame, head: int = HEAD, window: int = WINDOW) -
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """docs with the words of their repeated passages cut from text (and the white space after them); a document
     of which no word is left goes. Columns stay as they are, n_chars is counted anew."""
+    shared.small_batches(docs.sparkSession)
     cuts = passages.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start_word", "n_words")).alias("_cuts"))
     joined = docs.join(cuts, docs["doc_id"] == F.col("_id"), "left").drop("_id")
     names, at = docs.columns, joined.columns.index("text")

@@ -25,6 +25,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firelark.llm import shared
+
 LONE = re.compile(r"(?<=[^\s\x85]) (?=[^\s\x85])")
 PLAIN = re.compile(r"^ | $| [\s\x85]|[\s\x85] ").search  # what keeps a text from being split at every space
 KEPT = 500_000  # piece counts, and pairs of tokens, that a Python worker keeps
@@ -232,6 +234,7 @@ def counter(path: str) -> PrefixCounter:
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024) -> DataFrame:
     """vocabulary: its path as the workers see it."""
+    shared.small_batches(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa

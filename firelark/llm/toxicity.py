@@ -1,7 +1,7 @@
 """Toxic passages by maximum-scoring segment search.
 
 Method. Tokens (runs of letters, lower case) get the log-odds of toxic against other documents under an informative
-Dirichlet prior (the pooled counts, `prior` pseudo-tokens strong), less two standard errors; so do the beginnings of 4 to 7
+Dirichlet prior (the pooled counts, `prior` pseudo-tokens strong, a tenth of the counted ones at most), less two standard errors; so do the beginnings of 4 to 7
 letters of longer tokens, in place of tokens too rare to be known. All others, and those beyond the `max_terms`
 with the largest z, score `drift`, which is negative. One pass over a text finds all maximal scoring
 segments (the stack algorithm of Ruzzo and Tompa, linear time). The best segments of the clean training texts fit
@@ -27,6 +27,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firelark.llm.shared import small_batches
+
 TOKEN = re.compile(r"[^\W\d_]+")
 STEMS = (7, 6, 5, 4)
 BURST = 3  # a token counts so often in a training text at most: one repetitive text proves little
@@ -174,6 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
     na, nb = float(tot[0] or 0), float(tot[1] or 0)
     if not na or not nb:
         return Model({}, drift)
+    prior = min(prior, (na + nb) / 10)
     pr = (F.col("a") + F.col("b")) * (prior / (na + nb))
     odds = lambda c, n: F.log((F.col(c) + pr) / (F.lit(n + prior) - F.col(c) - pr))
     scored = counts.select("t", (odds("a", na) - odds("b", nb)).alias("d"), F.sqrt(1 / (F.col("a") + pr) + 1 / (F.col("b") + pr)).alias("s"))
@@ -200,6 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -225,6 +229,7 @@ def held_out(col: str, mod: int, rest: int):
 
 def without_toxic(docs: DataFrame, model: Model, reject: float = 0.5) -> DataFrame:
     """docs without those that score `reject` or more, in one pass over them; columns stay as they are."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 

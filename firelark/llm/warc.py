@@ -172,6 +172,7 @@ def loser_tree(runs):
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> list[tuple[str, int]]:
     """Writes all pages; (file, records) of each archive. pages: page_id, url, html."""
+    shared.small_batches(pages.sparkSession)
     p = pages.select(F.col("page_id").cast("long"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("html")).where("page_id is not null")
     p = p.withColumn("d", F.sha1("html"))
     first = p.where(F.length("html") >= min_bytes).groupBy("d").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")

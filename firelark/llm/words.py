@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from firelark.llm.shared import mix64
 
-CHUNK_BYTES = 2 << 20  # texts are handled in chunks of about so many bytes (one longer text is a chunk)
+CHUNK_BYTES = 1 << 20  # texts are handled in chunks of about so many bytes (one longer text is a chunk)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -25,8 +25,8 @@ def test_jaccard_blocks_of_large_classes(make, corpus, monkeypatch):
 def test_no_link_is_missed_by_keys():
     """Pairs at the threshold share a key, whatever their size."""
     rnd = np.random.default_rng(3)
-    for num, den, slack, least in ((90, 100, 0.25, 3), (80, 100, 0.5, 2)):
-        sizes = jaccard_join.bands(num, den, 1.5)
+    for num, den, slack, least in ((90, 100, 0.25, 3), (80, 100, 0.3, 2)):
+        sizes = jaccard_join.bands(num, den, 1.25)
         at = np.array([x[0] for x in sizes])
         for n in [*range(5, 40), 100, 333, 1000]:
             for _ in range(5):
