@@ -24,7 +24,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(_read(spark, sf_dir, "documents"), 3, 90, 100)
+    return jaccard_join.jaccard_components(_read(spark, sf_dir, "documents"), 3, 90, 100).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.capture_history(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp")
+    return warc.capture_history(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,5 +64,20 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_toxicity, op2_suffix_dedup, op3_jaccard_join, op4_decontamination, op5_token_counts, op6_quality_rules, op7_warc, op8_mixing, op9_quality_crf, op10_html_text)}
 
 
+OP3_SQL = """WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT s.doc_id, CAST(len(any_value(s.g)) AS BIGINT) AS n_shingles, min(r.c) AS component_id FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id"""
+
+OP7_SQL = """SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((((instr('0123456789abcdef', substr(x, CAST(5 * i // 4 + 1 AS INTEGER), 1)) - 1) * 16
++ instr('0123456789abcdef', substr(x || '0', CAST(5 * i // 4 + 2 AS INTEGER), 1)) - 1) >> CAST(3 - (5 * i) % 4 AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
+FROM (SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS f FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_jaccard_join": OP3_SQL, "op7_warc": OP7_SQL}
