@@ -9,7 +9,7 @@ from firelark.llm import queries
 def test_same_as_sql(spark, sf, name):
     duckdb = pytest.importorskip("duckdb")
     c = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     rel = c.execute(queries.oracle_sql()[name])
     names = [d[0] for d in rel.description]
