@@ -279,7 +279,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 yield pd.DataFrame({"a": rep[rep != low], "b": low[rep != low]})
 
     spread = pairs.repartition("comp", "p", "q").sortWithinPartitions("comp", "p", "q")
-    links = shared.connected(spread.mapInPandas(compare, "a long, b long")).select(F.col("id").alias("rep"), "comp")
+    links = spread.mapInPandas(compare, "a long, b long")
+    if (member.agg(F.max("parts")).first()[0] or 1) > 1:
+        links = shared.connected(links).select(F.col("id").alias("rep"), "comp")
+    else:  # every class was settled in one task, so each link goes to its component's smallest document already
+        links = links.select(F.col("a").alias("rep"), F.col("b").alias("comp"))
     named = shared.written(sets.join(links, "rep", "left").select("sig", F.coalesce("comp", "rep").alias("first"), "n_copies"), "named")
     # documents with an empty set are alone, though they share one
     out = rows.join(named, "sig")
