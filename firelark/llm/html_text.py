@@ -2,18 +2,21 @@
 
 Method. The tokens of a page are its tags (with their path, class and id) and its text blocks. Over the pages of a host each token has
 an occurrence vector: how often it occurs on each page. Tokens with the same vector form an equivalence class. A class is valid if it
-is large and frequent (`min_class` tokens on `min_pages` pages and a `min_share` of the host's) and ordered: its tokens
-come in the same order on all its pages. Valid classes nest by position into the template; what stands between
-their tokens are slots. Text that is itself a token of a valid class is template, not content, unless it stands in an <article>
-or <main>. Slots whose enclosing template tags
-(or, on pages without a template, plain tags) are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments are
+is large and frequent (`min_class` tokens on `min_pages` pages and a `min_share` of the host's), ordered and nested. Ordered: its
+tokens come in the same order on all its pages, those of a class that occurs several times a page in rounds of the same order,
+however far content moves them. Nested: the class of single tokens on the most pages is the frame, whose tokens bound slots; the tokens
+of other single classes keep their slots, and a round lies within one slot.
+Text that is itself a token of a valid class is template, not content, unless it stands in an <article>
+or <main>; all other text fills slots. Tags decide which slots are content: those in menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles or comments are
 dropped, by tag name, role or the words of class and id; the rest, within <article> or <main> where the page has one,
-is the main text.
+is the main text. So on pages with an <article> or <main> tags alone decide.
 
 Scale. An occurrence vector is never built: each (host, token) sums, over its pages, a hash of (page, count), so equal vectors have
-equal sums. Sums are made per map task first, so a host with a third of all pages is no task of its own. Pages are read
+equal sums; order is the hash of a class's tokens on a page, the least and greatest of which must be equal. Both are
+made per map task first, so a host with a third of all pages is no task of its own. Pages are read
 twice and never moved if the templates are counted to be under `MAX_TEMPLATE` tokens (they are then broadcast); beyond that
-pages are joined with their host's template.
+pages are joined with their host's template. Between, only 8 bytes a token of a page are kept.
 
 Results of main_text: page_id, url, text, n_chars. Character references are decoded, white space inside a block is one space, blocks
 are joined by a newline. Null html gives an empty text; a null url is a host of its own, without a template. Rows are kept as they are,
@@ -24,8 +27,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,91 +140,185 @@ def extract(page: str | None, template: frozenset | set = frozenset()) -> str:
     return "\n".join(kept)
 
 
-def _hash(token: str) -> int:
+def _hash(token: str, text: bool = True) -> int:
+    """A hash that is odd for a text block and even for a tag."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(token) - (1 << 63)
+    return (xxhash.xxh64_intdigest(token) - (1 << 63)) & -2 | text
 
 
 def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1))
 
 
-def templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.5, min_class: int = 3) -> DataFrame:
-    """(host, token) of the text tokens of valid classes; pages: page_id, host, html."""
-    mask = (1 << 64) - 1
+def _sequences(pages: DataFrame) -> DataFrame:
+    """(page_id, host, seq) of the pages of a host; seq: their tokens in order, as packed hashes."""
 
-    def count(batches):
+    def run(batches):
         import pyarrow as pa
 
-        sums: dict[tuple[str, int], list] = {}
+        for b in batches:
+            ids, hosts, seqs = [], [], []
+            for page_id, host, page in zip(*(c.to_pylist() for c in b.columns)):
+                if host:
+                    tokens, found = blocks(page)
+                    texts = {f[4] for f in found}
+                    ids.append(page_id or 0)
+                    hosts.append(host)
+                    seqs.append(np.array([_hash(t, t in texts) for t in tokens], np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hosts, pa.string()), pa.array(seqs, pa.binary())], names=["page_id", "host", "seq"])
+
+    return pages.select(F.col("page_id").cast("long"), "host", F.col("html").cast("string")).mapInArrow(run, "page_id long, host string, seq binary")
 
-        def flush():
-            rows = [(h, t, *v) for (h, t), v in sums.items()]
-            sums.clear()
-            kinds = (pa.string(), *[pa.int64()] * 7, pa.int32())
-            cols = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays(cols, names=["host", "token", "sig", "pages", "most", "order_sum", "order_low", "order_high", "text"])
 
-        signed = lambda x: (x & mask) - (1 << 63)
+def _vectors(seqs: DataFrame) -> DataFrame:
+    """(host, token, sig, pages, most): partial sums of the occurrence vectors."""
+
+    def run(batches):
+        import pandas as pd
+
         for b in batches:
-            for page_id, host, page in zip(*(c.to_pylist() for c in b.columns)):
-                if not host:
-                    continue
-                tokens, found = blocks(page)
-                texts = {f[4] for f in found}
-                counts = Counter(tokens)
-                key = page_id if page_id is not None else 0
-                # tokens of the whole page come in the order of their first occurrence
-                for place, (t, c) in enumerate(counts.items()):
-                    h = (key * 0x9E3779B97F4A7C15 + c * 0xD6E8FEB86659FD93) & mask
-                    h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & mask
-                    v = sums.setdefault((host, _hash(t)), [0, 0, 0, 0, place, place, int(t in texts)])
-                    v[0] = signed(v[0] + (1 << 63) + h if v[1] else h)
-                    v[1] += 1
-                    v[2] = max(v[2], c)
-                    v[3] += place
-                    v[4], v[5] = min(v[4], place), max(v[5], place)
-                if len(sums) > 200_000:
-                    yield flush()
-        if sums:
-            yield flush()
-
-    rows = pages.select(F.col("page_id").cast("long"), "host", F.col("html").cast("string")).mapInArrow(count, "host string, token long, sig long, pages long, most long, order_sum long, order_low long, order_high long, text int")
+            pdf = b.to_pandas()
+            if not len(pdf):
+                continue
+            host, names = pd.factorize(pdf["host"])
+            arrays = [np.frombuffer(x, np.int64) for x in pdf["seq"]]
+            row = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])
+            got = pd.DataFrame({"row": row, "token": np.concatenate(arrays)}).groupby(["row", "token"], sort=False).size().reset_index(name="c")
+            row, c = got["row"].to_numpy(), got["c"].to_numpy()
+            key = pdf["page_id"].to_numpy().astype(np.int64).view(np.uint64)[row]
+            got["sig"] = shared.mix64(key * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+            got["host"] = host[row]
+            out = got.groupby(["host", "token"], sort=False).agg(sig=("sig", "sum"), pages=("c", "size"), most=("c", "max")).reset_index()  # the sums wrap around
+            out["host"] = np.asarray(names)[out["host"].to_numpy()]
+            yield from pa_batches(out)
+
+    def pa_batches(pdf):
+        import pyarrow as pa
+
+        return pa.Table.from_pandas(pdf, pa.schema([("host", pa.string()), ("token", pa.int64()), ("sig", pa.int64()), ("pages", pa.int64()), ("most", pa.int64())]), preserve_index=False).to_batches()
+
+    return seqs.mapInArrow(run, "host string, token long, sig long, pages long, most long")
+
+
+def _with_rows(df: DataFrame, table: DataFrame):
+    """df with the host's rows of table as its last column, and how to read that of (host, column): broadcast if table is
+    counted to be under MAX_TEMPLATE rows, else joined."""
+    if table.limit(MAX_TEMPLATE + 1).count() <= MAX_TEMPLATE:
+        by_host: dict[str, list] = {}
+        for r in table.collect():  # counted: MAX_TEMPLATE rows at most
+            by_host.setdefault(r["host"], []).append({k: v for k, v in r.asDict().items() if k != "host"})
+        held = df.sparkSession.sparkContext.broadcast(by_host)
+        return df.withColumn("_rows", F.lit(None).cast("int")), lambda host, _: held.value.get(host, [])
+    packed = table.groupBy("host").agg(F.collect_list(F.struct(*[c for c in table.columns if c != "host"])).alias("_rows"))
+    return df.join(packed, "host", "left").select(*df.columns, "_rows"), lambda _, rows: rows or []
+
+
+def placed(seq: np.ndarray, token: np.ndarray, of: np.ndarray, sizes: np.ndarray, once: np.ndarray, frame: int):
+    """(class, order, slots, ordered, nested) of the classes of a page. token (sorted), of: tokens of the host's classes; frame: the class
+    on the most pages, or -1. order: hash of the class's tokens in the order of a round; slots: with their slot in the frame."""
+    import xxhash
+
+    if not len(token):
+        return
+    at = np.searchsorted(token, seq).clip(max=len(token) - 1)
+    where = np.flatnonzero(token[at] == seq)
+    cls = of[at[where]]
+    of_frame = where[cls == frame]
+    for c in np.unique(cls):
+        pos = where[cls == c]
+        toks, m = seq[pos], int(sizes[c])
+        slot = np.searchsorted(of_frame, pos)
+        ordered, nested = len(pos) % m == 0, True
+        if once[c]:
+            # once on each page: a token keeps its slot of the frame
+            places = slot if c != frame else np.zeros(len(pos), np.int64)
+        else:
+            # rounds of the same order, each within one slot of the frame
+            rounds = toks.reshape(-1, m) if ordered else toks[None, :]
+            ordered = ordered and bool((rounds == rounds[0]).all())
+            nested = ordered and bool((slot.reshape(-1, m) == slot.reshape(-1, m)[:, :1]).all())
+            toks, places = rounds[0], np.zeros(0, np.int64)
+        order = xxhash.xxh64_intdigest(toks.tobytes()) - (1 << 63)
+        yield int(c), order, xxhash.xxh64_intdigest(toks.tobytes() + places.tobytes()) - (1 << 63), ordered, nested
+
+
+def _orders(seqs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(host, sig, frame, low, high, slot_low, slot_high, unordered, crossed) of map tasks. classes: host, token, sig, most, pages."""
+    source, rows_of = _with_rows(seqs.select("host", "seq"), classes)
+
+    def run(batches):
+        import pyarrow as pa
+
+        kinds: dict = {}
+        sums: dict[tuple[str, str], list] = {}
+
+        def known(host, rows):
+            rows = sorted(rows_of(host, rows), key=lambda r: r["token"])
+            sigs = sorted({r["sig"] for r in rows}, key=str)
+            number = {s: i for i, s in enumerate(sigs)}
+            of = np.array([number[r["sig"]] for r in rows], np.int64)
+            sizes = np.bincount(of, minlength=len(sigs))
+            once, pages = np.zeros(len(sigs), bool), np.zeros(len(sigs), np.int64)
+            for r in rows:
+                once[number[r["sig"]]], pages[number[r["sig"]]] = r["most"] == 1, r["pages"]
+            frame = max((i for i in range(len(sigs)) if once[i]), key=lambda i: (pages[i], sizes[i], i), default=-1)
+            return sigs, np.array([r["token"] for r in rows], np.int64), of, sizes, once, frame
+
+        for b in batches:
+            for host, seq, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if host not in kinds:
+                    if len(kinds) > 1000:
+                        kinds.clear()
+                    kinds[host] = known(host, rows)
+                sigs, *rest = kinds[host]
+                for c, order, slots, ordered, nested in placed(np.frombuffer(seq, np.int64), *rest):
+                    v = sums.setdefault((host, sigs[c]), [int(c == rest[-1]), order, order, slots, slots, 0, 0])
+                    v[1], v[2], v[3], v[4] = min(v[1], order), max(v[2], order), min(v[3], slots), max(v[4], slots)
+                    v[5], v[6] = v[5] | (not ordered), v[6] | (not nested)
+        cols = list(zip(*((h, s, *map(int, v)) for (h, s), v in sums.items()))) or [()] * 9
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, (pa.string(), pa.string(), *[pa.int64()] * 7))], names=["host", "sig", "frame", "low", "high", "slot_low", "slot_high", "unordered", "crossed"])
+
+    return source.mapInArrow(run, "host string, sig string, frame long, low long, high long, slot_low long, slot_high long, unordered long, crossed long")
+
+
+def templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.5, min_class: int = 3) -> DataFrame:
+    """(host, token) of the text tokens of valid classes; pages: page_id, host, html."""
+    seqs = shared.written(_sequences(pages), "sequences")
     # sums wrap around, so parts of a vector can be added in any order
-    half = F.expr("CAST(sum(CAST(sig AS DECIMAL(38,0)) + 9223372036854775808) % 18446744073709551616 AS DECIMAL(38,0))")
-    tokens = rows.groupBy("host", "token").agg(half.alias("sig"), F.sum("pages").alias("pages"), F.max("most").alias("most"), F.min("order_low").alias("low"), F.max("order_high").alias("high"), F.max("text").alias("text"))
-    frequent = tokens.where(F.col("pages") >= min_pages)
-    of_host = pages.where("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    frequent = shared.written(frequent.join(of_host, "host").where(F.col("pages") >= min_share * F.col("n")), "tokens")
-    classes = frequent.groupBy("host", "sig", "pages").agg(F.count(F.lit(1)).alias("size"), F.max(F.col("high") - F.col("low")).alias("drift"))
-    # ordered and nested: its tokens keep their places up to the same drift, and the class is large enough
-    valid = classes.where((F.col("size") >= min_class) & (F.col("drift") <= 4))
-    return frequent.join(valid.select("host", "sig"), ["host", "sig"]).where("text = 1 AND most = 1").select("host", "token")
+    total = F.expr("CAST(pmod(sum(CAST(sig AS DECIMAL(20,0))), CAST(18446744073709551616 AS DECIMAL(20,0))) AS STRING)")
+    tokens = _vectors(seqs).groupBy("host", "token").agg(total.alias("sig"), F.sum("pages").alias("pages"), F.max("most").alias("most"))
+    of_host = seqs.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    frequent = shared.written(tokens.where(F.col("pages") >= min_pages).join(of_host, "host").where(F.col("pages") >= min_share * F.col("n")).drop("n"), "tokens")
+    large = frequent.groupBy("host", "sig").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_class).select("host", "sig")
+    classes = shared.written(frequent.join(large, ["host", "sig"]).select("host", "token", "sig", "most", "pages"), "classes")
+    low, high = (lambda *c: [F.min(x).alias(x) for x in c]), (lambda *c: [F.max(x).alias(x) for x in c])
+    placed_ = _orders(seqs, classes).groupBy("host", "sig").agg(*low("low", "slot_low"), *high("high", "slot_high", "frame", "unordered", "crossed"))
+    ordered = shared.written(placed_.where("unordered = 0 AND low = high"), "orders")
+    # a class nests if its tokens keep their slots of the frame, where that is valid itself
+    framed = ordered.where("frame = 1").select("host", F.lit(1).alias("framed"))
+    valid = ordered.join(framed, "host", "left").where("framed IS NULL OR (crossed = 0 AND slot_low = slot_high)")
+    return classes.join(valid.select("host", "sig"), ["host", "sig"]).where("token % 2 <> 0").select("host", "token")
 
 
 def main_text(pages: DataFrame, **options) -> DataFrame:
     shared.small_batches(pages.sparkSession)
     p = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"), host_of(F.col("url")).alias("host"))
     found = shared.written(templates(p, **options), "template")
-    spark = pages.sparkSession
-    few = found.limit(MAX_TEMPLATE + 1).count() <= MAX_TEMPLATE
-    if few:
-        by_host: dict[str, set] = {}
-        for r in found.collect():  # counted: MAX_TEMPLATE rows at most
-            by_host.setdefault(r[0], set()).add(r[1])
-        held = spark.sparkContext.broadcast(by_host)
-        source = p
-    else:
-        held = None
-        source = p.join(found.groupBy("host").agg(F.collect_set("token").alias("template")), "host", "left").select("page_id", "url", "html", "host", "template")
+    source, rows_of = _with_rows(p, found)
 
     def run(batches):
         import pyarrow as pa
 
+        known: dict[str, set] = {}
         for b in batches:
-            hosts = b.column(3).to_pylist()
-            marks = [held.value.get(h, ()) for h in hosts] if held else [set(x or ()) for x in b.column(4).to_pylist()]
+            marks = []
+            for host, rows in zip(b.column(3).to_pylist(), b.column(4).to_pylist()):
+                if host not in known:
+                    if len(known) > 1000:
+                        known.clear()
+                    known[host] = {r["token"] for r in rows_of(host, rows)}
+                marks.append(known[host])
             texts = [extract(page, m) for page, m in zip(b.column(2).to_pylist(), marks)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

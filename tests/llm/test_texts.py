@@ -233,6 +233,21 @@ def test_template_text_goes(spark):
     assert {r["text"] for r in html_text.main_text(pages).collect()} == {f"unique {i} text" for i in range(9)}
 
 
+def html_texts(spark, pages):
+    rows = spark.createDataFrame([(i, f"http://t.example/{i}", "<html><body>" + p + "</body></html>") for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in html_text.main_text(rows).orderBy("page_id").collect()]
+
+
+def test_repeated_template_text_goes(spark):
+    """A class of several occurrences a page nests in the frame: its text goes, the text between its tokens stays."""
+    item = "<section><h3>title {i} {j}</h3><blockquote>body {i} {j}</blockquote><h4>Read more</h4></section>"
+    pages = ["<p>Welcome</p><p>Top stories</p>" + "".join(item.format(i=i, j=j) for j in range(2 + i % 4)) + "<p>All rights kept</p>" for i in range(9)]
+    assert html_texts(spark, pages) == ["\n".join(f"title {i} {j}\nbody {i} {j}" for j in range(2 + i % 4)) for i in range(9)]
+    # rounds that differ in order are no template
+    mixed = ["<p>Welcome</p><p>Top stories</p><p>All rights kept</p>" + "".join(f"<p>{x}</p>" * 2 for x in (["Uno", "Due", "Tre"] if i % 2 else ["Tre", "Due", "Uno"])) for i in range(8)]
+    assert all("Uno" in t and "Welcome" not in t for t in html_texts(spark, mixed))
+
+
 # mixing
 
 
