@@ -248,6 +248,12 @@ def test_repeated_template_text_goes(spark):
     assert all("Uno" in t and "Welcome" not in t for t in html_texts(spark, mixed))
 
 
+def test_template_by_order_not_place(spark):
+    """1 to 50 paragraphs before an unmarked footer: the tokens' order holds, their places do not."""
+    pages = ["<p>Welcome</p><p>Top stories</p>" + "".join(f"<p>para {i} {j}</p>" for j in range(1 + 7 * i)) + "<p>All rights kept</p>" for i in range(8)]
+    assert html_texts(spark, pages) == ["\n".join(f"para {i} {j}" for j in range(1 + 7 * i)) for i in range(8)]
+
+
 # mixing
 
 
