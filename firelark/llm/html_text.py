@@ -9,8 +9,9 @@ of other single classes keep their slots, and a round lies within one slot.
 Text that is itself a token of a valid class is template, not content, unless it stands in an <article>
 or <main>; all other text fills slots. Tags decide which slots are content: those in menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles or comments are
-dropped, by tag name, role or the words of class and id; the rest, within <article> or <main> where the page has one,
-is the main text. So on pages with an <article> or <main> tags alone decide.
+dropped, by tag name, role or the words of class and id; the rest, within <article> and <main> where these hold any of it,
+is the main text. So on pages with such an <article> or <main> tags alone decide. An <article> that its class marks as a comment or teaser
+is dropped like other elements; one that nothing marks is taken at its word.
 
 Scale. An occurrence vector is never built: each (host, token) sums, over its pages, a hash of (page, count), so equal vectors have
 equal sums; order is the hash of a class's tokens on a page, the least and greatest of which must be equal. Both are
@@ -45,6 +46,9 @@ DROP = {"nav", "footer", "aside", "form", "script", "style", "noscript", "templa
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form"}
 # Words of class and id names that mark what is not main text.
 WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promoted", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "sidebar", "aside", "widget", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "respond", "pagination", "pager", "toolbar", "search", "form", "skip", "tracking"}
+# The same for <article> alone, and first words of its classes that are passed over.
+TEASERS = {"teaser", "teasers"}
+TOPICS = {"category", "cat", "tag", "tags", "topic", "has", "no", "format", "status", "type"}
 # p, li, td, ... end when one of these begins
 ENDS = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 SCOPE = {"article", "main", "div", "section", "td", "ul", "ol", "table", "nav", "footer", "aside", "header", "form", "body", "html"}
@@ -57,8 +61,12 @@ def boilerplate(tag: str, attrs: dict) -> bool:
         return True
     if attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
-    if tag in ("article", "main", "body", "html"):
+    if tag in ("main", "body", "html"):
         return False
+    if tag == "article":
+        # its classes also name its topics and format (category-social, has-sidebar), which say nothing of what it is
+        names = [_NAME.findall(x.lower()) for a in ("class", "id") for x in attrs.get(a, "").split()]
+        return any(w in WORDS or w in TEASERS for n in names if n and n[0] not in TOPICS for w in n)
     return any(w.lower() in WORDS for a in ("class", "id") for w in _NAME.findall(attrs.get(a, "")))
 
 
@@ -134,9 +142,10 @@ def blocks(page: str | None):
 def extract(page: str | None, template: frozenset | set = frozenset()) -> str:
     """template: hashes of the text tokens of the host's valid classes."""
     _, found = blocks(page)
-    inside = [b for b in found if b[2]] or [b for b in found if b[3]] or found
+    found = [b for b in found if not b[1]]
+    inside = [b for b in found if b[2] or b[3]] or found
     # what a page itself marks as its article stays, even a line that all pages of the host have
-    kept = [b[0] for b in inside if not b[1] and (b[2] or b[3] or not template or _hash(b[4]) not in template)]
+    kept = [b[0] for b in inside if (b[2] or b[3] or not template or _hash(b[4]) not in template)]
     return "\n".join(kept)
 
 

@@ -254,6 +254,22 @@ def test_template_by_order_not_place(spark):
     assert html_texts(spark, pages) == ["\n".join(f"para {i} {j}" for j in range(1 + 7 * i)) for i in range(8)]
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div>story</div><aside><article>teaser</article></aside>", "story"),
+    ("<div>story</div><section class=comments><article>I agree</article></section>", "story"),
+    ("<div>story</div><article class=comment>I agree</article><article class='card teaser'>more</article>", "story"),
+    ("<article>story</article><article class=comment>I agree</article>", "story"),
+    ("<article>story<article class='comment reply'>I agree</article></article>", "story"),
+    ("<article class='post category-social tag-ads has-sidebar'>story</article><div>beside</div>", "story"),
+    ("<main><p>lead</p><article>story</article></main><div>beside</div>", "lead\nstory"),
+    ("<main><p>story</p><article class=comment>I agree</article></main><div>beside</div>", "story"),
+    ("<div>beside</div><nav><main>menu</main></nav>", "beside"),
+    ("<article>story</article><main><nav>menu</nav></main>", "story"),
+])
+def test_scope(page, text):
+    assert html_text.extract(f"<html><body>{page}</body></html>") == text
+
+
 # mixing
 
 
