@@ -6,8 +6,9 @@ too, and equal hashes are hits. A hit puts an item against a text without gaps;
 `span` tokens (the whole item if it is shorter) is compared, and the document is contaminated if at least `share`
 of the tokens of some run are equal.
 
-With the masks below each alignment of 12 tokens or more with up to one substitution anywhere, or with substitutions that leave one
-mask's positions whole, is hit; the verification then tolerates up to 1 - share.
+Guarantee. With the defaults of span, share and least every alignment that the verification accepts is hit: whichever tokens of a run of
+12 to 24 are substituted, if 80 % are left then one of `SEEDS` has all its positions equal somewhere in the run (the tests enumerate
+all 41,341 patterns). A lower share or least needs other masks.
 
 Scale. The seeds of the benchmark are broadcast only if counted to be under `MAX_BROADCAST` rows; beyond, the
 join shuffles the hashes. Texts are moved only once, by doc_id, for the verification of documents with hits.
@@ -24,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MASKS = ("111011011", "110100110111")
+SEEDS = ("111011", "11111")
+MASKS = ("111011011", "110100110111")  # of OP4_SQL only, which finds fewer substitutions
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&|_-"
 MAX_BROADCAST = 1_000_000  # seeds, of 24 bytes
 MAX_ITEMS = 20_000
@@ -41,7 +43,7 @@ def seeds(w: str, mask: str, tag: int) -> str:
     return f"IF(size({w}) >= {len(mask)}, transform(sequence(0, size({w}) - {len(mask)}), i -> xxhash64({tag}, {take})), CAST(array() AS array<bigint>))"
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 24, share: float = 0.8, least: int = 12, masks=MASKS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 24, share: float = 0.8, least: int = 12, masks=SEEDS) -> DataFrame:
     items = benchmark.select("item_id", tokens(F.col("text").cast("string")).alias("b")).where(F.size("b") >= least)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("_t")).where("doc_id is not null and _t is not null")
     # the tokens are bound as a lambda's variable, so they are made once a text; the outer generator keeps Spark from

@@ -1,3 +1,5 @@
+import inspect
+import itertools
 import random
 
 import numpy as np
@@ -117,3 +119,42 @@ def test_contaminated(spark, make):
         assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(make(texts.items()), bench).collect()} == got
     finally:
         decontaminate.MAX_BROADCAST, decontaminate.MAX_ITEMS = before
+
+
+def test_seeds_hit_every_accepted_run():
+    masks = inspect.signature(decontaminate.contaminated).parameters["masks"].default
+    n_patterns, missed = 0, []
+    for n in range(12, 25):
+        windows = [sum(1 << s + k for k, c in enumerate(m) if c == "1") for m in masks for s in range(n - len(m) + 1)]
+        for gone in itertools.combinations(range(n), n - -(-8 * n // 10)):
+            whole = ~sum(1 << k for k in gone)
+            n_patterns += 1
+            if not any(whole & w == w for w in windows):
+                missed.append((n, gone))
+    assert n_patterns == 41341 and not missed
+
+
+def test_contaminated_without_seeds(spark, make):
+    """All alignments, compared without seeds, give the same rows."""
+    rnd = random.Random(12)
+    items = {i: [f"i{rnd.randrange(400)}" for _ in range(12 + i % 30)] for i in range(40)}
+    texts = {}
+    for i in range(240):
+        w = list(items[i % 40])
+        for k in rnd.sample(range(len(w)), rnd.randrange(len(w) // 3 + 1)):
+            w[k] = "zzz%d" % k
+        cut = rnd.choice([0, 0, 0, 3])
+        texts[i] = [f"t{rnd.randrange(99)}" for _ in range(rnd.randrange(5))] + w[cut:] + [f"t{rnd.randrange(99)}" for _ in range(rnd.randrange(5))]
+    texts[240] = [x if k % 4 != 3 else "zzz" for k, x in enumerate(items[3])]  # 15 tokens, each fourth substituted
+    want = set()
+    for d, w in texts.items():
+        for i, b in items.items():
+            run = min(24, len(b))
+            for at in range(1 - len(b), len(w)):
+                eq = [0 <= at + j < len(w) and w[at + j] == x for j, x in enumerate(b)]
+                best = max(sum(eq[s : s + run]) for s in range(len(b) - run + 1))
+                if best >= 0.8 * run:
+                    want.add((d, i, at, best, run))
+    bench = spark.createDataFrame([(i, " ".join(b)) for i, b in items.items()], "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.contaminated(make((i, " ".join(w)) for i, w in texts.items()), bench).collect()}
+    assert got == want and any(r[0] == 240 for r in got)
