@@ -2,20 +2,20 @@
 
 Method. Of each `window` neighbouring positions of a text the one whose next `head` words have the least hash is
 retained (a minimiser), so two texts that share min_words = head + window - 1 words retain the same suffix in
-them. Retained suffixes are sorted by their first `head` words, then by their first min_words words; neighbours in
-that order that begin alike are a repeat. Suffixes whose beginning occurs in one document only are dropped at
-once. The others get the words beside them, and each is compared with the first of its neighbours (smallest
-doc_id, then position): with those that share min_words words, and, for the first of these, with those that
-share `head`. Matches are extended word by word to the right and to the left, as far as the next retained suffix
-must take over, and kept if they have min_words words or more.
+them. Suffixes are sorted by their first `head` words; those whose beginning occurs in one document only are dropped
+at once. The others get the words beside them, and each is compared with the first of those that begin alike
+(smallest doc_id, then position), word by word to the right and to the left, as far as the next retained suffix
+must take over; matches of min_words words or more are kept. The runs of min_words words around a suffix that it
+does not share with that first one are then looked up themselves: by their hash each meets the first suffix with the same run.
 
-Guarantee. Every reported passage stands, word for word, in both documents (64-bit word hashes). Of a passage of
-min_words + window - 1 words or more every occurrence but that of the smallest doc_id is reported; so is a
-shorter one of min_words or more unless a third, earlier document shares its `head` words and parts from it too soon.
+Guarantee. Every reported passage stands, word for word, in both documents (hashes of 64 bits, of 32 beside the
+head). Every run of min_words words that an earlier document (smaller doc_id) has is reported, whichever words of
+it other documents share.
 
 Scale. Suffixes travel packed, one row a bucket and map task; a beginning that repeats within a map task is
 settled there and sent on once. The first of a group is found by a partial aggregate and joined back, a join that
-adaptive execution splits; no group is gathered.
+adaptive execution splits; no group is gathered. A suffix sends at most `window` hashes for the second search, so that grows
+with the words that repeat, not with the pairs.
 
 Results of repeated_passages: doc_id, start_word, n_words, match_doc_id (an earlier document with the passage),
 match_start_word; overlapping matches of a document are merged (the match is that of the longest). Words are
@@ -154,8 +154,8 @@ def _repeated(rows: DataFrame) -> DataFrame:
     return rows.repartition("bucket").mapInPandas(run, "doc_id long, pos int")
 
 
-def _with_context(docs: DataFrame, head: int, window: int, min_words: int) -> DataFrame:
-    """docs: doc_id, text, at (retained positions). A row each: hashes of head and min_words words, words beside."""
+def _with_context(docs: DataFrame, head: int, window: int) -> DataFrame:
+    """docs: doc_id, text, at (retained positions). A row each: hash of the head words, words beside."""
     side = window - 1
 
     def run(batches):
@@ -177,18 +177,11 @@ def _with_context(docs: DataFrame, head: int, window: int, min_words: int) -> Da
                 left = np.where(li >= lo[:, None], words[np.maximum(li, 0)], 0)
                 ri = p[:, None] + head + steps
                 right = np.where(ri < hi[:, None], words[np.minimum(ri, len(words) - 1)], 0)
-                # the first min_words words; a text that ends sooner gets a hash that none shares
                 grams = w.grams(head)
-                whole = p + min_words <= hi
-                big = np.zeros(len(p), np.uint64)
-                if whole.any():
-                    big[whole] = w.grams(min_words)[p[whole]]
-                alone = shared.mix64((ids[first + text].view(np.uint64) << np.uint64(24)) + (p - lo).astype(np.uint64))
-                big = np.where(whole, big, alone)
                 pack = lambda m: pa.array([r.tobytes() for r in (m >> np.uint64(32)).astype(np.uint32)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(grams[p].view(np.int64)), pa.array(big.view(np.int64)), pa.array(ids[first + text]), pa.array((p - lo).astype(np.int32)), pack(left), pack(right)], names=["h", "r", "doc_id", "pos", "lft", "rgt"])
+                yield pa.RecordBatch.from_arrays([pa.array(grams[p].view(np.int64)), pa.array(ids[first + text]), pa.array((p - lo).astype(np.int32)), pack(left), pack(right)], names=["h", "doc_id", "pos", "lft", "rgt"])
 
-    return docs.mapInArrow(run, "h long, r long, doc_id long, pos int, lft binary, rgt binary")
+    return docs.mapInArrow(run, "h long, doc_id long, pos int, lft binary, rgt binary")
 
 
 def _extent(mine, theirs, most: int) -> np.ndarray:
@@ -199,6 +192,23 @@ def _extent(mine, theirs, most: int) -> np.ndarray:
     return np.where(stop.any(1), stop.argmax(1), most)
 
 
+def _runs(h: np.ndarray, lft, rgt, left: np.ndarray, right: np.ndarray, most: int):
+    """(row, offset, hash) of the runs of head + most words that begin up to `most` words before a suffix, end within its
+    text and go beyond the left and right words that are shared already."""
+    a, b = (np.frombuffer(b"".join(x), np.uint32).reshape(-1, most) for x in (lft, rgt))
+    room = [np.where((x == 0).any(1), (x == 0).argmax(1), most) for x in (a, b)]
+    sums = []
+    for x in (a, b):
+        v = np.zeros((len(x), most + 1), np.uint64)
+        for k in range(most):
+            v[:, k + 1] = shared.mix64(v[:, k] * np.uint64(0x9E3779B97F4A7C15) + x[:, k] + np.uint64(1))
+        sums.append(v)
+    for o in range(most + 1):
+        i = np.flatnonzero((room[0] >= o) & (room[1] >= most - o) & ((left < o) | (right < most - o)))
+        if len(i):
+            yield i, o, shared.mix64(h[i] ^ shared.mix64(sums[0][i, o] * np.uint64(0xD6E8FEB86659FD93) + sums[1][i, most - o] + np.uint64(o)))
+
+
 def _merged(matches: DataFrame) -> DataFrame:
     def run(batches):
         import pandas as pd
@@ -207,7 +217,14 @@ def _merged(matches: DataFrame) -> DataFrame:
             out = []
             for doc, spans in zip(pdf["doc_id"], pdf["spans"]):
                 cur = None
-                for s in sorted((x["s"], x["e"], x["m"], x["ms"]) for x in spans):
+                chains: dict = {}  # matches that go on along the same words of the same document are one
+                for x in sorted(spans, key=lambda x: x["s"]):
+                    c = chains.setdefault((x["m"], x["s"] - x["ms"]), [])
+                    if c and x["s"] <= c[-1][1]:
+                        c[-1][1] = max(c[-1][1], x["e"])
+                    else:
+                        c.append([x["s"], x["e"], x["m"], x["ms"]])
+                for s in sorted(tuple(x) for c in chains.values() for x in c):
                     if cur and s[0] <= cur[1]:
                         if s[1] - s[0] > cur[4] - cur[5]:
                             cur[2:] = [s[2], s[3], s[1], s[0]]
@@ -235,11 +252,9 @@ def repeated_passages(docs: DataFrame, head: int = HEAD, window: int = WINDOW) -
     found = shared.written(_repeated(_suffixes(texts, head, window, least, buckets)), "suffixes")
     per_doc = found.groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
     near = shared.keep_in_bloom(texts, "doc_id", shared.bloom(found.select("doc_id").distinct(), "doc_id"))
-    rows = _with_context(near.join(per_doc, "doc_id"), head, window, least)
-    firsts = shared.written(rows.groupBy("h", "r").agg(F.min(F.struct("doc_id", "pos", "lft", "rgt")).alias("f")).select("h", "r", "f.*"), "firsts")
-    mine = rows.select("h", "r", "doc_id", "pos", "lft").join(firsts.select("h", "r", F.col("doc_id").alias("m"), F.col("pos").alias("mp"), F.col("lft").alias("ml")), ["h", "r"]).where("doc_id > m")
-    heads = shared.written(firsts.groupBy("h").agg(F.min(F.struct("doc_id", "pos", "lft", "rgt")).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1").select("h", "f.*"), "heads")
-    theirs = firsts.join(heads.select("h", F.col("doc_id").alias("m"), F.col("pos").alias("mp"), F.col("lft").alias("ml"), F.col("rgt").alias("mr")), "h").where("doc_id > m")
+    rows = shared.written(_with_context(near.join(per_doc, "doc_id"), head, window), "context")
+    firsts = rows.groupBy("h").agg(F.min(F.struct("doc_id", "pos", "lft", "rgt")).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    firsts = shared.written(firsts.select("h", F.col("f.doc_id").alias("m"), F.col("f.pos").alias("mp"), F.col("f.lft").alias("ml"), F.col("f.rgt").alias("mr")), "firsts")
 
     def extend(batches):
         import pandas as pd
@@ -248,13 +263,20 @@ def repeated_passages(docs: DataFrame, head: int = HEAD, window: int = WINDOW) -
             if not len(pdf):
                 continue
             left = _extent(pdf["lft"], pdf["ml"], side)
-            right = _extent(pdf["rgt"], pdf["mr"], side) if "rgt" in pdf else side
-            pos, mp = pdf["pos"].to_numpy(), pdf["mp"].to_numpy()
-            out = pd.DataFrame({"doc_id": pdf["doc_id"], "s": pos - left, "e": pos + head + right, "m": pdf["m"], "ms": mp - left})
-            yield out[out["e"] - out["s"] >= least]
-
-    schema = "doc_id long, s int, e int, m long, ms int"
-    matches = mine.select("doc_id", "pos", "lft", "m", "mp", "ml").mapInPandas(extend, schema).unionByName(theirs.select("doc_id", "pos", "lft", "rgt", "m", "mp", "ml", "mr").mapInPandas(extend, schema))
+            right = _extent(pdf["rgt"], pdf["mr"], side)
+            doc, pos, m, mp = (pdf[c].to_numpy() for c in ("doc_id", "pos", "m", "mp"))
+            out = pd.DataFrame({"key": 0, "doc_id": doc, "s": pos - left, "e": pos + head + right, "m": m, "ms": mp - left})
+            yield out[(out["e"] - out["s"] >= least) & (doc > m)]
+            for i, o, key in _runs(pdf["h"].to_numpy().view(np.uint64), pdf["lft"], pdf["rgt"], left, right, side):
+                yield pd.DataFrame({"key": key.view(np.int64), "doc_id": doc[i], "s": pos[i] - o, "e": 0, "m": 0, "ms": 0})
+
+    joined = rows.join(firsts, "h").select("h", "doc_id", "pos", "lft", "rgt", "m", "mp", "ml", "mr")
+    compared = shared.written(joined.mapInPandas(extend, "key long, doc_id long, s int, e int, m long, ms int"), "compared")
+    runs = compared.where("e = 0").select("key", "doc_id", "s")
+    again = runs.groupBy("key").agg(F.min(F.struct("doc_id", "s")).alias("f"), F.max("doc_id").alias("last")).where("f.doc_id < last")
+    again = shared.written(again.select("key", F.col("f.doc_id").alias("m"), F.col("f.s").alias("ms")), "again")
+    others = runs.join(again, "key").where("doc_id > m").select("doc_id", "s", (F.col("s") + least).alias("e"), "m", "ms")
+    matches = compared.where("e > 0").select("doc_id", "s", "e", "m", "ms").unionByName(others)
     return _merged(matches)
 
 

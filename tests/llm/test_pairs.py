@@ -69,6 +69,28 @@ def test_repeated_passages(make, corpus):
         assert want[i] <= got[i]
 
 
+def test_passages_beside_an_earlier_lead_in(make):
+    """Documents that share 50 to 73 words, of which an earlier third one has only the first, the middle or the last; all words are found."""
+    rnd = random.Random(21)
+    fresh = lambda n: [f"x{rnd.randrange(10**6)}" for _ in range(n)]
+    texts = {}
+    for n in range(24):
+        both, k = fresh(50 + n), n * 10
+        for j, (lo, hi) in enumerate(((0, 30), (8, 42), (20, 50 + n), (0, 49))):
+            texts[k + j] = fresh(30) + both[lo:hi] + fresh(30)
+        texts[k + 4], texts[k + 5] = fresh(30) + both + fresh(30), fresh(n) + both + fresh(60 - n)
+    # a lead-in of many documents, then bodies that two of each have
+    lead, bodies = fresh(40), [fresh(35) for _ in range(20)]
+    texts |= {1000 + i: fresh(i % 7) + lead + bodies[i % 20] + fresh(40) for i in range(40)}
+    texts = {i: " ".join(w) for i, w in texts.items()}
+    got: dict = {}
+    for r in suffix_dedup.repeated_passages(make(texts.items())).collect():
+        got.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["start_word"] + r["n_words"]))
+        w, at = texts[r["match_doc_id"]].split(), r["match_start_word"]
+        assert w[at : at + 50] == texts[r["doc_id"]].split()[r["start_word"] : r["start_word"] + 50]
+    assert got == repeated(texts, 50)
+
+
 def test_minimisers_are_shared():
     rnd = np.random.default_rng(0)
     g = rnd.integers(0, 50, 400, np.uint64)
