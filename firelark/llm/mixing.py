@@ -1,14 +1,15 @@
 """Mixing sources to target weights by Pfair scheduling. DataFrame functions only.
 
-Method. The documents of a source, in an order by hash, form blocks of `block` documents. Weights are whole shares a_s of a cycle of Q
-slots (Q = sum of a_s; `cycle` at most), each slot takes one block. Block k of source s is released at slot floor(k Q / a_s) and due by
+Method. The documents of a source, in an order by hash, form blocks of `block` documents. Weights are whole shares a_s of Q = sum of a_s,
+each slot takes one block. Block k of source s is released at slot floor(k Q / a_s) and due by
 ceil((k + 1) Q / a_s); in each slot the released block with the earliest deadline goes. On one line of slots this meets all deadlines,
-so after any number of slots each source deviates from its weight by less than one block. The schedule repeats after Q slots: one cycle is
-a small table, and a block's slot is arithmetic on it. When a source ends, a new phase begins with the weights of the others.
+so after any number of slots each source deviates from its weight by less than one block. Q is about `FINE`, so that the shares are the
+weights (to 1e-12); with `cycle` they are rounded to whole shares of so many slots, and the deviation holds for these
+only. When a source ends, a new phase begins with the weights of the others.
 
 Scale. Documents are numbered without sorting a source in one task: a source is cut by hash range into pieces of about `piece`
-documents, these are numbered on their own and offset by the counts before them. The schedule has at most phases x cycle
-rows, both bounded by the number of sources and the cycle, whatever the data.
+documents, these are numbered on their own and offset by the counts before them. The driver steps through the slots, one a block, and
+keeps 8 bytes for each; the schedule is broadcast up to `MAX_BROADCAST` blocks, beyond that Spark plans the join by size.
 
 Results of mixed: the input's rows and columns, plus mix_block (number of the block in its source, from 0), mix_slot (place of the
 block in the mix, from 0) and mix_position (place of the document, from 0: by slot, then order within the block). No
@@ -22,6 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+FINE = 1 << 42
+MAX_BROADCAST = 1_000_000  # blocks, of about 30 bytes
+
 
 def shares(weights: dict, cycle: int) -> dict:
     """Whole shares that sum to `cycle` (largest remainders, at least 1 each), divided by their common factor."""
@@ -58,37 +62,40 @@ def one_cycle(a: dict) -> list[tuple[object, int]]:
     return out
 
 
-def plan(blocks: dict, a: dict) -> list[tuple[object, int, int, int, int, int, int]]:
-    """Rows (source, first block, end block, first slot, share, cycle slots, place in cycle -> slot) of all phases:
-    block b of a phase with b - first = c * share + i has slot first slot + c * cycle + slot of i."""
-    done = {s: 0 for s in blocks}
-    live = {s for s, n in blocks.items() if n}
-    slot, out = 0, []
+def schedule(blocks: dict, a: dict) -> dict:
+    """The slots of the blocks of each source, over all phases."""
+    import heapq
+    from array import array
+
+    out = {s: array("q") for s in blocks}
+    live = sorted((s for s, n in blocks.items() if n), key=str)
+    slot = 0
     while live:
-        now = {s: a[s] for s in live}
-        q, table = sum(now.values()), one_cycle(now)
-        at = {s: [] for s in live}
-        for t, (s, _) in enumerate(table):
-            at[s].append(t)
+        q, t = sum(a[s] for s in live), 0
+        release: dict = {0: [(s, 0) for s in live]}
+        ready: list = []
         # the phase ends after the slot that takes the last block of the first source to end
-        last = {s: slot_of(blocks[s] - done[s] - 1, now[s], q, at[s]) for s in live}
-        end = min(last.values()) + 1
-        for s in sorted(live, key=str):
-            n = end // q * now[s] + sum(t < end % q for t in at[s])
-            for i, t in enumerate(at[s]):
-                out.append((s, done[s], done[s] + n, slot, now[s], q, i, t))
-            done[s] += n
-        slot += end
-        live = {s for s in live if done[s] < blocks[s]}
+        while True:
+            for s, k in release.pop(t, ()):
+                heapq.heappush(ready, (-(-(k + 1) * q // a[s]), str(s), k, s))
+            due, _, k, s = heapq.heappop(ready)
+            assert due > t
+            out[s].append(slot + t)
+            t += 1
+            if len(out[s]) == blocks[s]:
+                break
+            release.setdefault(max(t, (k + 1) * q // a[s]), []).append((s, k + 1))
+        slot += t
+        live = [s for s in live if len(out[s]) < blocks[s]]
     return out
 
 
-def slot_of(b: int, share: int, q: int, at: list[int]) -> int:
-    return b // share * q + at[b % share]
+def mixed(docs: DataFrame, weights: dict | None = None, block: int = 32, cycle: int | None = None, piece: int = 50_000, power: float = 0.5, seed: int = 1) -> DataFrame:
+    """weights: by source; None: the counts of documents to the `power`. cycle: round the weights to shares of so many slots."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import LongType, StructType
 
-
-def mixed(docs: DataFrame, weights: dict | None = None, block: int = 32, cycle: int = 400, piece: int = 50_000, power: float = 0.5, seed: int = 1) -> DataFrame:
-    """weights: by source; None: the counts of documents to the `power`."""
     spark = docs.sparkSession
     docs = docs.drop("mix_block", "mix_slot", "mix_position")
     counts = {r[0]: r[1] for r in docs.groupBy("source").count().collect()}  # a row a source
@@ -97,11 +104,14 @@ def mixed(docs: DataFrame, weights: dict | None = None, block: int = 32, cycle:
     given = weights or {s: n**power for s, n in counts.items()}
     low = min(given.values())
     target = {s: given.get(s, low) for s in counts}
-    a = shares(target, max(cycle, len(target)))
+    a = shares(target, max(cycle or FINE, len(target)))
     blocks = {s: -(-n // block) for s, n in counts.items()}
-    rows = plan(blocks, a)
-    name = docs.schema["source"].dataType.simpleString()
-    table = spark.createDataFrame(rows, f"_s {name}, _from long, _to long, _slot0 long, _share int, _q int, _i int, _t int")
+    slots = schedule(blocks, a)
+    kind = docs.schema["source"].dataType
+    column = pa.chunked_array([pa.repeat(pa.scalar(s, to_arrow_type(kind)), len(x)) for s, x in slots.items()])
+    rows = pa.table({"_s": column, "_b": pa.array([i for x in slots.values() for i in range(len(x))], pa.int64()), "_t": pa.array([t for x in slots.values() for t in x], pa.int64())})
+    table = spark.createDataFrame(rows, StructType().add("_s", kind).add("_b", LongType()).add("_t", LongType()))
+    table = F.broadcast(table) if len(rows) <= MAX_BROADCAST else table
     # number the documents of a source in hash order, piece by piece
     order = docs.withColumn("_o", F.xxhash64(F.lit(seed), "doc_id", "text"))
     n_pieces = {s: max(1, n // piece) for s, n in counts.items()}
@@ -115,22 +125,9 @@ def mixed(docs: DataFrame, weights: dict | None = None, block: int = 32, cycle:
     ranked = order.withColumn("_r", F.row_number().over(Window.partitionBy("source", "_p").orderBy(*tie)) - 1)
     ranked = ranked.join(F.broadcast(before), F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_p") == F.col("_p2")))
     ranked = ranked.withColumn("_n", F.col("_before") + F.col("_r")).withColumn("mix_block", F.floor(F.col("_n") / block).cast("long"))
-    # the phase of a block, then its slot; a join on source and place in the cycle
-    phases = table.select("_s", "_from", "_to", "_slot0", "_share", "_q").distinct()
-    ranked = ranked.join(F.broadcast(phases), F.col("source").eqNullSafe(F.col("_s")) & (F.col("mix_block") >= F.col("_from")) & (F.col("mix_block") < F.col("_to"))).drop("_s", "_to")
-    ranked = ranked.withColumn("_k", F.col("mix_block") - F.col("_from")).withColumn("_c", F.floor(F.col("_k") / F.col("_share"))).withColumn("_i2", (F.col("_k") % F.col("_share")).cast("int"))
-    places = table.select(F.col("_s").alias("_s3"), F.col("_slot0").alias("_slot3"), "_i", "_t")
-    ranked = ranked.join(F.broadcast(places), F.col("source").eqNullSafe(F.col("_s3")) & (F.col("_slot0") == F.col("_slot3")) & (F.col("_i2") == F.col("_i")))
-    ranked = ranked.withColumn("mix_slot", (F.col("_slot0") + F.col("_c") * F.col("_q") + F.col("_t")).cast("long"))
+    ranked = ranked.join(table, F.col("source").eqNullSafe(F.col("_s")) & (F.col("mix_block") == F.col("_b"))).withColumn("mix_slot", F.col("_t"))
     # every block is full but the last of its source, so the place follows from the slot, less what short blocks before it lack
-    short = [(slot_end, block - (n - (blocks[s] - 1) * block)) for s, n in counts.items() for slot_end in [_slot_in(rows, s, blocks[s] - 1)] if n % block]
+    short = [(slots[s][-1], block - n % block) for s, n in counts.items() if n % block]
     lack = sum((F.when(F.col("mix_slot") > at, F.lit(n)).otherwise(F.lit(0)) for at, n in short), F.lit(0))
     ranked = ranked.withColumn("mix_position", (F.col("mix_slot") * block - lack + F.col("_n") % block).cast("long"))
     return ranked.select(*docs.columns, "mix_block", "mix_slot", "mix_position")
-
-
-def _slot_in(rows, source, b: int) -> int:
-    for s, lo, hi, slot0, share, q, i, t in rows:
-        if s == source and lo <= b < hi and (b - lo) % share == i:
-            return slot0 + (b - lo) // share * q + t
-    raise AssertionError("a block without a slot")

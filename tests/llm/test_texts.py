@@ -309,3 +309,27 @@ def test_mixed(make):
     assert mixing.mixed(docs.where("false")).collect() == []
     twice = mixing.mixed(make([(1, "a"), (1, "a"), (1, "b"), (None, None)]))
     assert sorted(r["mix_position"] for r in twice.collect()) == [0, 1, 2, 3]
+
+
+def test_deviation_from_unrounded_weights(make):
+    weights = {"a": 0.001, "b": 0.3333, "c": 0.6657}
+    source = {i: "a" if i < 20 else "b" if i < 700 else "c" for i in range(2000)}
+    rows = mixing.mixed(make([(i, f"t{i}") for i in source], source), weights, block=1).orderBy("mix_slot").collect()
+    seen = dict.fromkeys(weights, 0)
+    for t, r in enumerate(rows, 1):
+        seen[r["source"]] += 1
+        assert r["mix_slot"] == r["mix_position"] == t - 1 and all(abs(seen[s] - w * t) < 1 + 1e-6 for s, w in weights.items())
+        if seen[r["source"]] == sum(x == r["source"] for x in source.values()):
+            break
+    # 21 sources of 3 million documents in blocks of 32, a third in one, weights by their roots
+    counts = {f"s{i}": 1_000_000 if not i else 100_000 for i in range(21)}
+    total = sum(n**0.5 for n in counts.values())
+    weights = {s: n**0.5 / total for s, n in counts.items()}
+    blocks = {s: n // 32 for s, n in counts.items()}
+    slots = mixing.schedule(blocks, mixing.shares(weights, mixing.FINE))
+    assert sorted(t for x in slots.values() for t in x) == list(range(sum(blocks.values())))
+    end = min(x[-1] for x in slots.values())
+    assert end > 50_000
+    for s, x in slots.items():
+        # before and after each of its blocks
+        assert all(abs(k - weights[s] * t) < 1 + 1e-6 and abs(k + 1 - weights[s] * (t + 1)) < 1 + 1e-6 for k, t in enumerate(x) if t <= end)
