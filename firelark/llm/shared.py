@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+import weakref
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
+_PATHS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()  # folders of written tables
 BLOOM_BITS = 1 << 26  # 8 MB whatever the input: past its capacity it only lets more rows through
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests, one machine) a temporary folder."""
+    """The folder of spark.checkpoint.dir; where it is unset and the master is local (tests, one machine) a temporary folder."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="firelark-")
@@ -36,7 +41,61 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for t in tables:
+        if path := _PATHS.pop(t, None):
+            delete(t.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+MAX_IDS = 1_000_000  # ids of 8 bytes that may be broadcast
+
+
+def few(ids: DataFrame) -> bool:
+    return ids.limit(MAX_IDS + 1).count() <= MAX_IDS
+
+
+def split_by_ids(df: DataFrame, ids: DataFrame, col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(rows of df whose col may be in ids, the others), in JVM functions, without moving df. ids: one distinct column, written. A bitmap
+    of hashes is broadcast: 2 ** 20 words of 64 bits at most, whatever the input. Rows without an id are of the second part."""
+    i, at, bits, found = (fresh(df, x) for x in ("id", "at", "bits", "found"))
+    key = F.col(col).cast(ids.schema[0].dataType)
+    word = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20))
+    bit = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(64)).cast("int")
+    ids = ids.toDF(i)
+    words = written(ids.groupBy(word(F.col(i)).alias(at)).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col(i)))).alias(bits)), "bitmap")
+    tagged = df.join(F.broadcast(words), word(key) == F.col(at), "left")
+    tagged = tagged.withColumn(found, F.coalesce(F.call_function("bit_get", F.col(bits), bit(key)) == 1, F.lit(False)) & F.col(col).isNotNull())
+    return tagged.where(F.col(found)).select(*df.columns), tagged.where(~F.col(found)).select(*df.columns)
+
+
+def without_ids(df: DataFrame, ids: DataFrame, col: str = "doc_id") -> DataFrame:
+    """Rows of df whose col is not in ids (one distinct column, written). Up to MAX_IDS ids are broadcast; beyond, only rows that the bitmap
+    of split_by_ids does not clear are moved."""
+    i = fresh(df, "id")
+    gone = lambda x, y: x.join(y, F.col(col) == F.col(i), "left_anti")
+    if few(ids):
+        return gone(df, F.broadcast(ids.toDF(i)))
+    maybe, sure = split_by_ids(df, ids, col)
+    return sure.unionByName(gone(maybe, ids.toDF(i)))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def partitions(spark: SparkSession) -> int:
@@ -147,9 +206,11 @@ def connected(edges: DataFrame) -> DataFrame:
         # the joined sides are written first, so that adaptive execution can split the edges of a hub
         low = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
         large = written(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        discard(e, low)
         low = written(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
         e = written(small.where("a <> b").distinct(), "edges")
+        discard(large, low)
         # done when all components are stars: one edge a node, and no centre that is a leaf
         one = e.agg(F.count(F.lit(1)) - F.countDistinct("a")).first()[0] == 0
         if one and e.join(e.select(F.col("a").alias("leaf")), F.col("b") == F.col("leaf"), "left_semi").limit(1).count() == 0:

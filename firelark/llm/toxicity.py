@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firelark.llm.shared import small_batches
+from firelark.llm.shared import discard, small_batches, written
 
 TOKEN = re.compile(r"[^\W\d_]+")
 STEMS = (7, 6, 5, 4)
@@ -146,8 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
     labels = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("y"))
     share = min(1.0, max_rows / max(1, labels.count()))
     slots = 1 << 20
-    labels = labels.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(slots)) < int(share * slots))
-    train = labels.join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), F.col("_id") == F.col("doc_id")).select("y", "text")
+    labels = labels.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(slots)) < int(share * slots)).distinct()
+    # the chosen labels are about max_rows rows of 12 bytes at most: broadcast, so the texts are read where they lie
+    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(labels), F.col("_id") == F.col("doc_id"))
+    train = written(train.select("y", "text"), "labelled")
 
     def count(batches):
         import pandas as pd
@@ -175,6 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
     counts = counts.where("a + b >= 3")
     na, nb = float(tot[0] or 0), float(tot[1] or 0)
     if not na or not nb:
+        discard(train)
         return Model({}, drift)
     prior = min(prior, (na + nb) / 10)
     pr = (F.col("a") + F.col("b")) * (prior / (na + nb))
@@ -191,10 +194,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
             out = []
             for y, text in zip(pdf["y"], pdf["text"]):
                 n, segs = model.of(text)
-                out.append((int(y == 1), float(n), [s for _, _, s in segs][:1 << 16]))
+                out.append((int(y == 1), float(n), [s for _, _, s in segs]))
             yield pd.DataFrame({"y": [o[0] for o in out], "n": [o[1] for o in out], "best": [max(o[2], default=0.0) for o in out], "all": [o[2] for o in out]})
 
     seen = train.mapInPandas(best, "y int, n double, best double, all array<double>").toPandas()
+    discard(train)
     clean = seen[seen["y"] == 0]
     model.lam, model.k = gumbel(clean["best"].to_numpy(), clean["n"].to_numpy())
     x = np.array([model.features(n, [(0, 0, s) for s in all_]) for n, all_ in zip(seen["n"], seen["all"])]).reshape(-1, 2)
