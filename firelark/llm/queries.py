@@ -82,18 +82,18 @@ FROM (SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS f F
 def _op4_sql() -> str:
     mark = decontaminate.PUNCTUATION.replace("'", "''")
     toks = f"list_filter(list_transform(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: trim(x, '{mark}')), lambda x: x <> '')"
-
-    def grams(source: str, w: str) -> str:
-        one = lambda t, m: f"SELECT *, i - 1 AS p, '{t}|' || " + " || ' ' || ".join(f"{w}[i + {k}]" for k, c in enumerate(m) if c == "1") + f" AS h FROM (SELECT *, unnest(range(1, len({w}) - {len(m)} + 2)) AS i FROM {source})"
-        return " UNION ALL ".join(one(t, m) for t, m in enumerate(decontaminate.MASKS))
-
-    return f"""WITH b AS (SELECT * FROM (SELECT item_id, {toks} AS b FROM benchmark) WHERE len(b) >= 12),
+    take = lambda m, w: " || ' ' || ".join(f"{w}[i + {k}]" for k, c in enumerate(m) if c == "1")
+    grams = lambda source, w: " UNION ALL ".join(f"SELECT *, i - 1 AS p, '{t}|' || {take(m, w)} AS h FROM (SELECT *, unnest(range(1, len({w}) - {len(m)} + 2)) AS i FROM {source})" for t, m in enumerate(decontaminate.SEEDS))
+    # items of under 12 tokens: all their tokens, at each place of the text
+    return f"""WITH b AS (SELECT * FROM (SELECT item_id, {toks} AS b FROM benchmark WHERE item_id IS NOT NULL) WHERE len(b) > 0),
 d AS (SELECT doc_id, {toks} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
-s AS ({grams('b', 'b')}), g AS ({grams('d', 'w')}),
-h AS (SELECT DISTINCT g.doc_id, s.item_id, g.p - s.p AS k FROM g JOIN s ON g.h = s.h),
-v AS (SELECT h.*, least(24, len(b.b)) AS run, list_transform(range(0, len(b.b)), lambda j: CASE WHEN k + j >= 0 AND k + j < len(d.w) AND d.w[k + j + 1] = b.b[j + 1] THEN 1 ELSE 0 END) AS eq FROM h JOIN b ON b.item_id = h.item_id JOIN d ON d.doc_id = h.doc_id),
-n AS (SELECT doc_id, item_id, k, run, list_max(list_transform(range(0, len(eq) - run + 1), lambda x: list_sum(list_slice(eq, x + 1, x + run)))) AS n FROM v)
-SELECT DISTINCT doc_id, item_id, CAST(k AS INTEGER) AS at_token, CAST(n AS INTEGER) AS n_equal, CAST(run AS INTEGER) AS n_compared FROM n WHERE n >= 0.8 * run"""
+l AS (SELECT * FROM b WHERE len(b) >= 12), c AS (SELECT * FROM b WHERE len(b) < 12),
+s AS ({grams('l', 'b')}), g AS ({grams('d', 'w')}), f AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+h AS (SELECT DISTINCT g.doc_id, s.item_id, g.p - s.p AS k FROM g JOIN s ON g.h = s.h
+UNION SELECT f.doc_id, c.item_id, f.i - 1 FROM f JOIN c ON f.w[f.i] = c.b[1] AND list_slice(f.w, f.i, f.i + len(c.b) - 1) = c.b),
+v AS (SELECT h.*, CASE WHEN len(b.b) < 12 THEN len(b.b) ELSE least(24, len(b.b)) END AS run, len(b.b) AS m, list_transform(range(0, len(b.b)), lambda j: CASE WHEN k + j >= 0 AND k + j < len(d.w) AND d.w[k + j + 1] = b.b[j + 1] THEN 1 ELSE 0 END) AS eq FROM h JOIN b ON b.item_id = h.item_id JOIN d ON d.doc_id = h.doc_id),
+n AS (SELECT doc_id, item_id, k, run, m, list_max(list_transform(range(0, len(eq) - run + 1), lambda x: list_sum(list_slice(eq, x + 1, x + run)))) AS n FROM v)
+SELECT DISTINCT doc_id, item_id, CAST(k AS INTEGER) AS at_token, CAST(n AS INTEGER) AS n_equal, CAST(run AS INTEGER) AS n_compared FROM n WHERE n >= CASE WHEN m < 12 THEN run ELSE 0.8 * run END"""
 
 
 def oracle_sql() -> dict[str, str]:
