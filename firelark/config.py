@@ -23,31 +23,21 @@ def parse_shard(text: str) -> tuple[int, int]:
     return shard, of
 
 
-def parse_nodes(text: str) -> list[tuple[int, str]]:
-    """'id@host:port,...' as (id, host:port)."""
-    out = []
-    for part in filter(None, (p.strip() for p in text.split(","))):
-        number, at, address = part.partition("@")
-        if not at or not number.isdigit() or not address:
-            raise ValueError(f"a node is id@host:port, not {part!r}")
-        out.append((int(number), address))
-    return out
-
-
 @dataclass
 class Settings:
     warehouse: str = "warehouse"
     checkpoint: str = "checkpoint"
-    relay: str = ""
     shard: str = ""
     disable_stream: bool = False
     disable_backfill: bool = False
     gate_backfilling: bool = False
-    page_size: int = 1000
     max_files_per_trigger: int = 64
     trigger_seconds: int = 5
     rows_per_file: int = 5_000_000
     compact_after_files: int = 3000
+    compact_seconds: int = 1200
+    retry_seconds: int = 2
+    from_cursor: bool = False
     shutdown_seconds: int = 30
     post_collection: str = POST
 

@@ -24,8 +24,9 @@ def current(df: DataFrame, table: str) -> DataFrame:
 
 
 def backlinks_current(df: DataFrame, by_path: bool = False) -> DataFrame:
-    """Edges by (ref, collection, source_uri); by_path: by (ref, source_uri, path), which keeps an edge for each path."""
-    return latest(df, ["ref", "source_uri", "path"] if by_path else ["ref", "collection", "source_uri"], ["indexed_at", "path"] if not by_path else ["indexed_at", "collection"])
+    """Edges by (ref, collection, source_uri), of which the last in the record stays; by_path: by (ref, source_uri, path), which keeps an
+    edge for each path."""
+    return latest(df, ["ref", "source_uri", "path"], ["indexed_at", "collection", "ordinal"]) if by_path else current(df, "backlinks")
 
 
 def snapshot(pending: DataFrame, table: str, cutoff: Column) -> DataFrame:
@@ -57,7 +58,8 @@ def stats_merged(partials: DataFrame) -> DataFrame:
 
 def posts(records: DataFrame, collection: str = POST) -> DataFrame:
     p = records.where(F.col("collection") == collection)
-    return p.select("uri", "did", "rkey", X.seconds(F.col("created_at")).alias("created_at"), X.seconds(F.col("indexed_at")).alias("indexed_at"), X.json_string(F.col("record"), "$.text").alias("text"), X.json_string(F.col("record"), "$.reply.parent.uri").alias("reply_parent"))
+    p = p.withColumn("v", F.try_parse_json("record"))  # a column of its own, so a record is parsed once
+    return p.select("uri", "did", "rkey", X.seconds(F.col("created_at")).alias("created_at"), X.seconds(F.col("indexed_at")).alias("indexed_at"), X.variant_string(F.col("v"), "$.text").alias("text"), X.variant_string(F.col("v"), "$.reply.parent.uri").alias("reply_parent"))
 
 
 def label_rows(records: DataFrame, collection: str = POST) -> DataFrame:
@@ -65,8 +67,9 @@ def label_rows(records: DataFrame, collection: str = POST) -> DataFrame:
 
 
 def backlink_rows(records: DataFrame) -> DataFrame:
-    """Edges of records that carry links; the column of a record's own URI becomes source_uri."""
-    return records.select(F.explode("links").alias("l"), "collection", F.col("uri").alias("source_uri"), F.col("did").alias("source_did"), "created_at", "indexed_at").select("l.ref", "l.ref_type", "collection", "l.path", "source_uri", "source_did", "created_at", "indexed_at")
+    """Edges of records that carry links, with their place in the record; the column of a record's own URI becomes source_uri."""
+    e = records.select(F.posexplode("links").alias("ordinal", "l"), "collection", F.col("uri").alias("source_uri"), F.col("did").alias("source_did"), "created_at", "indexed_at")
+    return e.select("l.ref", "l.ref_type", "collection", "l.path", "source_uri", "source_did", "created_at", "indexed_at", "ordinal")
 
 
 def recent(df: DataFrame, n: int) -> DataFrame:
@@ -86,5 +89,16 @@ def gated(ops: DataFrame, jobs: DataFrame) -> DataFrame:
     return ops.join(busy, F.col("did") == F.col("_busy"), "left").where(F.col("_busy").isNull() | (F.col("action") == "delete")).drop("_busy")
 
 
+def load_cursor(cursors: DataFrame, name: str = "firehose") -> int:
+    """Where a source goes on: the newest cursor of a name, 0 if there is none; one that is no whole number is an error."""
+    text = cursors.where(F.col("name") == name).select(F.col("cursor").cast("string").alias("cursor"), "updated_at")
+    row = text.agg(F.max_by("cursor", F.struct("updated_at", "cursor")).alias("c")).first()
+    if row["c"] is None:
+        return 0
+    if not row["c"].strip().isdigit():
+        raise ValueError(f"the cursor {name!r} is no number: {row['c']!r}")
+    return int(row["c"])
+
+
 def cursor(cursors: DataFrame, name: str = "firehose") -> DataFrame:
     return latest(cursors.where(F.col("name") == name), ["name"], ["updated_at", "cursor"]).select("cursor").limit(1)

@@ -1,97 +1,44 @@
-"""Event streams and repository lists as Spark data sources.
+"""Event streams from files, and paged repository lists.
 
-`firelark_events` replays files of events: JSON lines of {kind, seq, repo, ops: [{action, path, cid, bytes (base64)}]}, in the order of
-their names, as a stream with offsets by sequence, or as a batch. Reading goes through pyarrow's file systems."""
+Events are JSON lines of {kind, seq, repo, ops: [{action, path, cid, bytes (base64)}]} in files that are put into a folder whole; Spark's own
+file source reads them, in batches of files, and keeps in its checkpoint which it has read. A line that is no JSON has no kind: it is
+counted and otherwise passed over."""
 
 from __future__ import annotations
 
-import base64
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql import types as T
 
 from firelark.schemas import EVENTS
 
+FILES = "*.{jsonl,txt}"
+_TEXT = T.StructType([f if f.name != "ops" else T.StructField("ops", T.ArrayType(T.StructType([T.StructField(x.name, T.StringType()) for x in f.dataType.elementType]))) for f in EVENTS])
 
-def _files(path: str):
-    from pyarrow import fs
-
-    system, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    found = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-    return system, sorted(f.path for f in found if f.is_file and f.path.endswith(".jsonl"))
-
-
-def event_of(line: str) -> tuple:
-    e = json.loads(line)
-    ops = [(o.get("action"), o.get("path"), o.get("cid"), base64.b64decode(o["bytes"]) if o.get("bytes") is not None else None) for o in e.get("ops") or []]
-    return e.get("kind"), e.get("seq"), e.get("repo"), ops
-
-
-def _read(path: str, name: str):
-    system, _ = _files(path)
-    with system.open_input_stream(name) as f:
-        for line in f.read().decode().splitlines():
-            if line.strip():
-                yield event_of(line)
-
-
-class _File(InputPartition):
-    def __init__(self, name: str):
-        self.name = name
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options):
-        self.path = options["path"]
-
-    def partitions(self):
-        return [_File(n) for n in _files(self.path)[1]] or [_File("")]
-
-    def read(self, partition):
-        if partition.name:
-            yield from _read(self.path, partition.name)
-
-
-class _StreamReader(DataSourceStreamReader):
-    """Offsets count files; a batch takes at most maxFilesPerTrigger of them, so a slow sink holds the source back."""
-
-    def __init__(self, options):
-        self.path, self.most = options["path"], int(options.get("maxFilesPerTrigger", "64"))
-        self.at = 0
-
-    def initialOffset(self):
-        return {"files": 0}
-
-    def latestOffset(self):
-        self.at = min(len(_files(self.path)[1]), self.at + self.most)
-        return {"files": self.at}
-
-    def partitions(self, start, end):
-        self.at = max(self.at, end["files"])
-        return [_File(n) for n in _files(self.path)[1][start["files"] : end["files"]]]
 
-    def read(self, partition):
-        yield from _read(self.path, partition.name)
+def _events(lines: DataFrame, after: int) -> DataFrame:
+    bytes_ = lambda o: F.struct(*(F.try_to_binary(o[f], F.lit("base64")).alias(f) if f == "bytes" else o[f].alias(f) for f in ("action", "path", "cid", "bytes")))
+    e = lines.withColumn("ops", F.transform("ops", bytes_))
+    return e.where(F.col("seq").isNull() | (F.col("seq") > after)) if after > 0 else e
 
-    def commit(self, end):
-        pass
 
+def events(spark: SparkSession, folder: str, after: int = 0) -> DataFrame:
+    """All events of a folder, those after a sequence number if it is above 0."""
+    return _events(spark.read.schema(_TEXT).json(folder, pathGlobFilter=FILES), after)
 
-class Events(DataSource):
-    @classmethod
-    def name(cls):
-        return "firelark_events"
 
-    def schema(self):
-        return EVENTS
+def event_stream(spark: SparkSession, folder: str, most: int = 64, after: int = 0) -> DataFrame:
+    """The same as a stream of at most `most` files a batch, so a slow sink holds the source back. after: the cursor to go on from, for a
+    query without a checkpoint of its own."""
+    lines = spark.readStream.schema(_TEXT).option("maxFilesPerTrigger", str(most)).option("pathGlobFilter", FILES).json(folder)
+    return _events(lines, after)
 
-    def reader(self, schema):
-        return _Reader(self.options)
 
-    def streamReader(self, schema):
-        return _StreamReader(self.options)
+def write_events(df: DataFrame, folder: str, mode: str = "overwrite") -> None:
+    """Events as files that the sources read."""
+    text = lambda o: F.struct(*(F.base64(o[f]).alias(f) if f == "bytes" else o[f].alias(f) for f in ("action", "path", "cid", "bytes")))
+    lines = df.withColumn("ops", F.transform("ops", text)).select(F.to_json(F.struct("kind", "seq", "repo", "ops")).alias("value"))
+    lines.write.mode(mode).option("lineSep", "\n").text(folder)
 
 
 class RepoList:

@@ -9,8 +9,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from firelark.config import Settings, parse_nodes, parse_shard
-from firelark.functions import cbor, retry
+from firelark.config import Settings, parse_shard
+from firelark.functions import cbor
 from firelark.functions import exprs as X
 
 
@@ -48,6 +48,7 @@ def enc(v):
     return head(5, len(v)) + b"".join(enc(k) + enc(x) for k, x in v.items())
 
 
+# Records in CBOR and the JSON that they must give.
 @pytest.mark.parametrize(
     "raw, want",
     [
@@ -157,20 +158,8 @@ def test_settings():
     for bad in ("2/2", "x/2", "1", "-1/2"):
         with pytest.raises(ValueError):
             parse_shard(bad)
-    assert parse_nodes("1@h:9, 2@i:8") == [(1, "h:9"), (2, "i:8")]
-    s = Settings.from_env({"FIRELARK_SHARD": "1/4", "FIRELARK_PAGE_SIZE": "7", "FIRELARK_DISABLE_STREAM": "true"})
-    assert (s.shard, s.page_size, s.disable_stream) == ("1/4", 7, True)
-
-
-def test_retry_policies():
-    for n in (0, 6, 20, 1000):
-        assert retry.busy(n, 0.99).retry and 0.75 <= retry.busy(n, 0.0).delay <= 30 and retry.busy(n, 0.99).delay <= 30
-    assert 3 <= retry.busy(2, 0.0).delay <= retry.busy(2, 1.0).delay <= 5 and retry.busy(100, 0.5).delay == 30
-    assert all(retry.hard(n).retry and retry.hard(n).refresh for n in range(6)) and not retry.hard(6).retry
-    b = retry.Budget()
-    for _ in range(50):
-        assert b.next(True).retry
-    assert [b.next(False).retry for _ in range(7)] == [True] * 6 + [False]
+    s = Settings.from_env({"FIRELARK_SHARD": "1/4", "FIRELARK_COMPACT_SECONDS": "7", "FIRELARK_DISABLE_STREAM": "true"})
+    assert (s.shard, s.compact_seconds, s.disable_stream) == ("1/4", 7, True)
 
 
 def test_latest_ties(spark):
