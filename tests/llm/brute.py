@@ -6,6 +6,10 @@ from collections import Counter
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def words(rnd, n, size=3000):
+    return [f"w{rnd.randrange(size)}" for _ in range(n)]
+
+
 def lower(t):
     return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
 
@@ -15,8 +19,11 @@ def shingles(text, k):
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
 
-def components(texts: dict, k: int, num: int, den: int) -> dict:
-    sets, up = {i: shingles(t, k) for i, t in texts.items()}, {i: i for i in texts}
+def components(rows, k: int, num: int, den: int) -> list:
+    """(doc_id, n_shingles, component) of each row (doc_id, text), sorted; texts: a dict or pairs. Rows of one doc_id are one document."""
+    rows = list(rows.items()) if isinstance(rows, dict) else list(rows)
+    sets = [(i, shingles(t, k)) for i, t in rows]
+    up = {i: i for i, _ in rows if i is not None}
 
     def find(x):
         while up[x] != x:
@@ -24,14 +31,13 @@ def components(texts: dict, k: int, num: int, den: int) -> dict:
             x = up[x]
         return x
 
-    ids = sorted(sets)
-    for n, i in enumerate(ids):
-        for j in ids[:n]:
-            both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and den * both >= num * (len(sets[i]) + len(sets[j]) - both):
+    for n, (i, x) in enumerate(sets):
+        for j, y in sets[:n]:
+            both = len(x & y)
+            if x and y and i is not None and j is not None and den * both >= num * (len(x) + len(y) - both):
                 a, b = find(i), find(j)
                 up[max(a, b)] = min(a, b)
-    return {i: (len(sets[i]), find(i)) for i in ids}
+    return sorted(((i, len(x), None if i is None else find(i) if x else i) for i, x in sets), key=repr)
 
 
 def repeated(texts: dict, least: int) -> dict:

@@ -6,6 +6,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from brute import words
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n int, sig string, kind string, score double"
 
 
@@ -14,10 +16,6 @@ def row(i, text, source="s"):
     return (i, text, "en", source, len(text or ""), 1, "x", "y", 0.5)
 
 
-def words(rnd, n, size=3000):
-    return [f"w{rnd.randrange(size)}" for _ in range(n)]
-
-
 @pytest.fixture(scope="session")
 def make(spark):
     return lambda texts, source="s": spark.createDataFrame([row(i, t, source if isinstance(source, str) else source[i]) for i, t in texts], DOCS)
