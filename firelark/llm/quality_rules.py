@@ -1,11 +1,12 @@
 """Document quality by weak supervision over rules. DataFrame functions only.
 
-Method. Rules over counts of a text vote good (1) or bad (-1) or abstain (0). Expectation-maximisation over all documents
-estimates each rule's accuracy, given the hidden quality, and the share of good documents; a document's quality is the
-posterior probability given its votes (rules independent given quality, abstaining rules without say). It is kept if that is
-`threshold` or more and no base rule fails.
+Method. Each rule looks for one defect of junk in the counts of a text. It votes bad (-1) where the defect is plain, good (1) where the text is free of
+it, and abstains (0) between, or where the text is too short to tell. Expectation-maximisation over all documents estimates the share of
+good documents and of each rule how often it is right on good ones that it votes on, and on bad ones, given the hidden quality; a
+document's quality is the posterior probability given its votes (rules independent given quality, abstaining rules without say). So a
+vote for good says little where a rule knows one kind of junk only. It is kept if that is `threshold` or more and no base rule fails.
 
-The votes of all documents are first counted by pattern (a partial aggregate); patterns are at most 2 ** 9, a bound that does
+The votes of all documents are first counted by pattern (a partial aggregate); patterns are at most 3 ** 8, a bound that does
 not depend on the data, and EM runs over them. Texts are read once; their counts are written to the shared folder.
 
 Results: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (counts over the whole text, as in the columns of
@@ -52,56 +53,69 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def votes() -> dict[str, Column]:
-    """Rules: -1 where a text has a defect of junk, 1 where it is plain prose, else 0. Being free of one defect says little, so the
-    rules for defects abstain then."""
+    """Rules: -1 where a text has a defect of junk, 1 where it is free of it, else 0."""
     n = F.greatest(F.col("n_words"), F.lit(1))
     letters = F.greatest(F.col("word_chars"), F.lit(1))
     per = lambda c: F.col(c) / n
-    bad = lambda x: F.when(x, -1).otherwise(0)
+    vote = lambda bad, good: F.when(bad, -1).when(good, 1).otherwise(0)
+    size = F.col("word_chars") / n
     return {
-        "prose": F.when((per("n_symbols") < 0.02) & (per("n_shouts") < 0.02) & (F.col("n_capitals") / letters < 0.2) & (per("n_repeat_words") < 0.15), 1).otherwise(0),
-        "symbols": bad(per("n_symbols") > 0.25),
-        "symbol_chars": bad(F.col("n_symbols") / letters > 0.05),
-        "shouts": bad(per("n_shouts") > 0.15),
-        "capitals": bad(F.col("n_capitals") / letters > 0.4),
-        "repeats": bad(per("n_repeat_words") > 0.35),
-        "lines": bad((F.col("n_dup_lines") >= 4) & (F.col("n_dup_lines") * 5 > F.col("n_lines"))),
-        "variety": bad((n >= 50) & (per("n_distinct") < 0.08)),
-        "word_length": bad((F.col("word_chars") / n > 14) | (F.col("word_chars") / n < 2)),
+        "symbols": vote(per("n_symbols") > 0.25, per("n_symbols") < 0.02),
+        "symbol_chars": vote(F.col("n_symbols") / letters > 0.05, F.col("n_symbols") / letters < 0.004),
+        "shouts": vote(per("n_shouts") > 0.15, per("n_shouts") < 0.02),
+        "capitals": vote(F.col("n_capitals") / letters > 0.4, F.col("n_capitals") / letters < 0.2),
+        "repeats": vote(per("n_repeat_words") > 0.35, per("n_repeat_words") < 0.15),
+        "lines": vote((F.col("n_dup_lines") >= 4) & (F.col("n_dup_lines") * 5 > F.col("n_lines")), F.col("n_dup_lines") == 0),
+        "variety": vote((n >= 50) & (per("n_distinct") < 0.08), (n >= 50) & (per("n_distinct") > 0.2)),
+        "word_length": vote((size > 14) | (size < 2), (size >= 3) & (size <= 9)),
     }
 
 
-START, STRENGTH = 0.9, 0.05  # accuracy that rules start from, and the share of all documents that it counts as
+# before any data: a rule is wrong on few good documents, and knows some of the bad ones; this counts as a share of all documents
+START, STRENGTH = (0.99, 0.3), 0.05
+CLAMP = ((0.5, 0.999), (0.02, 0.95))
 
 
-def fit(patterns: list[tuple[dict[str, int], int]], rules: list[str], rounds: int = 40) -> tuple[float, dict[str, float]]:
-    """EM over counted vote patterns: the share of good documents and each rule's accuracy. Abstaining tells nothing."""
+def evidence(right: tuple[float, float]) -> tuple[float, float]:
+    """Log-odds of good that a vote for good and one for bad add; right: how often a rule is, on good and on bad documents."""
+    good, bad = right
+    return math.log(good / (1 - bad)), math.log((1 - good) / bad)
+
+
+def fit(patterns: list[tuple[dict[str, int], int]], rules: list[str], rounds: int = 40) -> tuple[float, dict[str, tuple[float, float]]]:
+    """EM over counted vote patterns: the share of good documents and of each rule how often it is right on good and on bad ones."""
     total = sum(c for _, c in patterns)
     share, right = 0.8, dict.fromkeys(rules, START)
     for _ in range(rounds if total else 0):
-        good, agree, cast = 0.0, dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0.0)
+        says = {r: evidence(right[r]) for r in rules}
+        good, agree, cast = 0.0, {r: [0.0, 0.0] for r in rules}, {r: [0.0, 0.0] for r in rules}
         for pattern, c in patterns:
-            x = math.log(share / (1 - share)) + sum(v * math.log(right[r] / (1 - right[r])) for r, v in pattern.items())
-            p = 1 / (1 + math.exp(-x))
+            x = math.log(share / (1 - share)) + sum(says[r][v < 0] for r, v in pattern.items() if v)
+            p = 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
             good += p * c
             for r, v in pattern.items():
                 if v:
-                    cast[r] += c
-                    agree[r] += c * (p if v > 0 else 1 - p)
+                    for k, q in enumerate((p, 1 - p)):
+                        cast[r][k] += q * c
+                        agree[r][k] += q * c * ((v > 0) == (k == 0))
         prior = STRENGTH * total
         share = min(0.99, max(0.01, good / total))
-        right = {r: min(0.99, max(0.55, (agree[r] + START * prior) / (cast[r] + prior))) for r in rules}
+        of = lambda r, k, m: min(CLAMP[k][1], max(CLAMP[k][0], (agree[r][k] + START[k] * m) / (cast[r][k] + m)))
+        right = {r: (of(r, 0, prior), of(r, 1, prior * (1 - share))) for r in rules}
     return share, right
 
 
 def quality_rules(docs: DataFrame, threshold: float = 0.5, min_words: int = 50, max_repeat: int = 50) -> DataFrame:
     m = shared.written(measures(docs), "measures")
     rules = votes()
-    voted = m.select("*", *(v.alias(f"_{r}") for r, v in rules.items()))
-    cols = [f"_{r}" for r in rules]
+    cast = F.struct(*(v.cast("int").alias(r) for r, v in rules.items()))
+    voted = m.withColumn("votes", cast)
     usable = (F.col("n_words") >= min_words) & (100 * F.col("n_repeat_words") <= max_repeat * F.col("n_words"))
-    counted = voted.where(F.col("n_words") > 0).groupBy(*cols).count().collect()  # 2 ** 9 rows at most
-    share, right = fit([({r: x[f"_{r}"] for r in rules}, x["count"]) for x in counted], list(rules))
-    odds = sum((F.col(f"_{r}") * math.log(right[r] / (1 - right[r])) for r in rules), F.lit(math.log(share / (1 - share))))
+    counted = voted.where(F.col("n_words") > 0).groupBy("votes").count().collect()  # 3 ** 8 rows at most
+    share, right = fit([(x["votes"].asDict(), x["count"]) for x in counted], list(rules))
+    odds = F.lit(math.log(share / (1 - share)))
+    for r in rules:
+        good, bad = evidence(right[r])
+        odds = odds + F.when(F.col(f"votes.{r}") > 0, good).when(F.col(f"votes.{r}") < 0, bad).otherwise(0.0)
     out = voted.select("*", (1 / (1 + F.exp(-odds))).alias("quality"), (~usable).alias("base_failed"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.when(F.col("n_words") == 0, 0.0).otherwise(F.col("quality")).alias("quality"), (~F.col("base_failed") & (F.col("quality") >= threshold)).alias("kept"))
