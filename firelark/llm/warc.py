@@ -4,7 +4,7 @@ Method. Pages are written as gzipped WARC records, one archive a task. Each arch
 by URL key (host labels reversed, then path) and timestamp, are a run, written beside it with a sparse index. Runs are merged by a
 loser tree: one comparison a level for each record, memory for one block a run. More than `FAN_IN` runs are first merged
 in groups. The last merge is cut into key ranges, one task each, that seek into every run by its sparse index, so
-the result is globally ordered and no task sees all of it.
+the result is globally ordered and no task sees all of it. The driver knows the runs' paths and SAMPLE keys of all of them together.
 
 Of equal payloads (SHA-1 and length) of at least `min_bytes`, the record of the smallest page_id is a response, the others are revisits
 that refer to it and hold no payload; smaller ones are all responses. The smallest page_id of a payload is found by a partial
@@ -14,8 +14,10 @@ Files go to the shared folder through pyarrow's file systems (file, s3, gcs, hdf
 archives that a finished task reported are read, so lost executors and repeated tasks do no harm.
 
 Results of capture_history: url_key, timestamp, url, page_id, payload_bytes, payload_digest, record_type, refers_to, archive, record_offset; ordered
-by url_key, timestamp and page_id across partitions. Null html is an empty payload, a null url the key "". page_ids must be unique
-and not null; rows without are left out. An empty table gives an empty result; other columns are ignored.
+by url_key, timestamp and page_id across partitions. Null html is an empty payload, a null url the key "". Rows without a
+page_id are left out; rows of a repeated page_id are a record each, and responses all if they have the smallest page_id of their payload. Capture
+times are derived from page_id (modulo ten years), ties are ordered by page_id. Very long payloads are written whole, one record at a time in memory. An empty
+table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ from firelark.llm import shared
 
 FAN_IN = 256
 SPARSE = 64  # captures a block of a run
-START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+START, SPAN = datetime(2024, 1, 1, tzinfo=timezone.utc), 10 * 365 * 86400  # capture times: page_id seconds from START, modulo ten years
+SAMPLE = 1 << 16  # keys of all runs together that the driver cuts ranges by
 
 
 def url_key(url: str | None) -> str:
@@ -107,12 +110,9 @@ def _pack(rows: list[tuple]) -> bytes:
     return struct.pack("<I", len(raw)) + raw
 
 
-def _run(system, path: str, rows: list[tuple]) -> tuple[str, list[tuple]]:
-    """Writes sorted rows as blocks; returns the path and (first key, offset) of each block."""
-    return _run_blocks(system, path, (rows[i : i + SPARSE] for i in range(0, len(rows), SPARSE)))
-
-
-def _run_blocks(system, path: str, blocks) -> tuple[str, list[tuple]]:
+def _run(system, path: str, blocks, most: int) -> dict:
+    """Writes blocks of sorted rows as a run: the blocks, a sparse index of their first keys, and the index's place. Returns the path and about
+    `most` of the keys at most."""
     index, at = [], 0
     with system.open_output_stream(path) as out:
         for b in blocks:
@@ -120,17 +120,37 @@ def _run_blocks(system, path: str, blocks) -> tuple[str, list[tuple]]:
             index.append((b[0][:3], at))
             out.write(raw)
             at += len(raw)
-    return path, index
+        out.write(_pack(index) + struct.pack("<Q", at))
+    return {"path": path, "keys": [{"a": k[0], "b": k[1], "c": k[2]} for k, _ in index[:: -(-len(index) // most)]]}
+
 
+def _in_blocks(rows):
+    held = []
+    for r in rows:
+        held.append(r)
+        if len(held) == SPARSE:
+            yield held
+            held = []
+    if held:
+        yield held
 
-def _rows_of(system, path: str, offset: int, low, high):
-    """Rows of a run from offset on with low <= key < high (None: open)."""
+
+def _rows_of(system, path: str, low, high):
+    """Rows of a run with low <= key < high (None: open), from the block on that the run's index gives."""
     import pickle
 
     with system.open_input_file(path) as f:
-        f.seek(offset)
-        while head := f.read(4):
-            for r in pickle.loads(zlib.decompress(f.read(struct.unpack("<I", head)[0]))):
+        end = f.size() - 8
+        f.seek(end)
+        end = struct.unpack("<Q", f.read(8))[0]
+        if low is not None:
+            f.seek(end + 4)
+            index = pickle.loads(zlib.decompress(f.read(f.size() - 8 - end - 4)))
+            f.seek(index[max(0, bisect.bisect_left(index, (low,)) - 1)][1])
+        else:
+            f.seek(0)
+        while f.tell() < end:
+            for r in pickle.loads(zlib.decompress(f.read(struct.unpack("<I", f.read(4))[0]))):
                 if high is not None and r[:3] >= high:
                     return
                 if low is None or r[:3] >= low:
@@ -188,7 +208,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> list[tu
                 if out is None:
                     system, path = _open(folder)
                     out = system.open_output_stream(f"{path}/{name}")
-                stamp = (START + timedelta(seconds=page)).strftime("%Y-%m-%dT%H:%M:%SZ")
+                stamp = (START + timedelta(seconds=page % SPAN)).strftime("%Y-%m-%dT%H:%M:%SZ")
                 out.write(record(page, url, stamp, html, one if one != page else None))
                 n += 1
         if out is not None:
@@ -217,13 +237,7 @@ def _parallel(spark, items: list, job, schema: str) -> DataFrame:
 
 _FIELDS = ("url_key", "timestamp", "page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "record_offset")
 _SCHEMA = "url_key string, timestamp string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, record_offset long"
-_INDEX = "path string, keys array<struct<a:string,b:string,c:long,at:long>>"
-
-
-def _index_row(path: str, index: list[tuple], most: int) -> dict:
-    """A run's path and at most about `most` of its block keys."""
-    step = max(1, len(index) // most)
-    return {"path": path, "keys": [{"a": k[0], "b": k[1], "c": k[2], "at": at} for k, at in index[::step]]}
+_INDEX = "path string, keys array<struct<a:string,b:string,c:long>>"
 
 
 def read_archive(system, path: str, name: str) -> list[tuple]:
@@ -251,49 +265,35 @@ def capture_history(pages: DataFrame, min_bytes: int = 0, tasks: int | None = No
     if not files:
         return spark.createDataFrame([], _SCHEMA)
     tasks = tasks or shared.partitions(spark)
+    most = max(1, SAMPLE // len(files))
 
     def one(file):
         system, path = _open(folder)
         rows = sorted(read_archive(system, path, file[0]), key=lambda r: r[:3])
         if len(rows) != file[1]:
             raise ValueError(f"{file[0]} has {len(rows)} records of {file[1]}")
-        yield [_index_row(*_run(system, f"{path}/{uuid.uuid4().hex}.run", rows), 64)]
+        yield [_run(system, f"{path}/{uuid.uuid4().hex}.run", _in_blocks(rows), most)]
 
-    unpack = lambda df: [(r["path"], [((k["a"], k["b"], k["c"]), k["at"]) for k in r["keys"]]) for r in df.collect()]
-    runs = unpack(_parallel(spark, files, one, _INDEX))  # 64 keys a run
-    while len(runs) > FAN_IN:
+    unpack = lambda df: [(r["path"], [(k["a"], k["b"], k["c"]) for k in r["keys"]]) for r in df.collect()]
+    runs = unpack(_parallel(spark, files, one, _INDEX))  # a path a run, SAMPLE keys in all or one a run
+    keys = sorted(k for _, sample in runs for k in sample)
+    paths = [p for p, _ in runs]
+    while len(paths) > FAN_IN:
 
         def some(group):
             system, path = _open(folder)
+            yield [_run(system, f"{path}/{uuid.uuid4().hex}.run", _in_blocks(loser_tree([_rows_of(system, p, None, None) for p in group])), 1)]
 
-            def blocks():
-                held = []
-                for r in loser_tree([_rows_of(system, p, 0, None, None) for p, _ in group]):
-                    held.append(r)
-                    if len(held) == SPARSE:
-                        yield held
-                        held = []
-                if held:
-                    yield held
-
-            yield [_index_row(*_run_blocks(system, f"{path}/{uuid.uuid4().hex}.run", blocks()), 64)]
-
-        runs = unpack(_parallel(spark, [runs[i : i + FAN_IN] for i in range(0, len(runs), FAN_IN)], some, _INDEX))
-    keys = sorted(k for _, index in runs for k, _ in index)
-    cuts = [keys[len(keys) * i // tasks] for i in range(1, tasks)] if len(keys) >= tasks else []
-    cuts = sorted(set(cuts))
+        groups = [paths[i : i + FAN_IN] for i in range(0, len(paths), FAN_IN)]
+        paths = [p for p, _ in unpack(_parallel(spark, groups, some, _INDEX))]
+    cuts = sorted({keys[len(keys) * i // tasks] for i in range(1, tasks)} if len(keys) >= tasks else ())
     ranges = list(zip([None, *cuts], [*cuts, None]))
-    held = spark.sparkContext.broadcast(runs)
+    held = spark.sparkContext.broadcast(paths)  # FAN_IN at most
 
     def merge(span):
         system, _ = _open(folder)
-        low, high = span
-        runs_now = []
-        for path, index in held.value:
-            i = max(0, bisect.bisect_left(index, (low,)) - 1) if low is not None else 0
-            runs_now.append(_rows_of(system, path, index[i][1], low, high))
         rows = []
-        for r in loser_tree(runs_now):
+        for r in loser_tree([_rows_of(system, p, *span) for p in held.value]):
             rows.append(dict(zip(_FIELDS, r)))
             if len(rows) == 4096:
                 yield rows
