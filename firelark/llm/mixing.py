@@ -8,23 +8,32 @@ weights (to 1e-12); with `cycle` they are rounded to whole shares of so many slo
 only. When a source ends, a new phase begins with the weights of the others.
 
 Scale. Documents are numbered without sorting a source in one task: a source is cut by hash range into pieces of about `piece`
-documents, these are numbered on their own and offset by the counts before them. The driver steps through the slots, one a block, and
-keeps 8 bytes for each; the schedule is broadcast up to `MAX_BROADCAST` blocks, beyond that Spark plans the join by size.
+documents, these are numbered on their own and offset by the counts before them. The driver gets a row a source and steps through the slots, one
+a block, of which there are at most MAX_BLOCKS: beyond a billion documents blocks get longer than BLOCK. Sources, pieces and
+schedule are joined as tables, broadcast up to `MAX_BROADCAST` rows; beyond that Spark plans the joins by size.
 
 Results of mixed: the input's rows and columns, plus mix_block (number of the block in its source, from 0), mix_slot (place of the
 block in the mix, from 0) and mix_position (place of the document, from 0: by slot, then order within the block). No
 document is dropped. Null sources are a source of their own; sources without a weight get the least share; weights of sources
-without documents don't matter. Repeated doc_ids are told apart by their text. An empty table gives an empty result; input columns
-named as one of the three are replaced.
+without documents don't matter. Null and repeated doc_ids and texts are rows like others, told apart by their text; equal rows take places next to each
+other. Documents of a source are ordered by a hash of doc_id and text, ties by these. Very long texts are moved once, whole. An empty table gives an
+empty result; input columns named as one of the three are replaced, no other name matters.
 """
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from firelark.llm import shared
+
 FINE = 1 << 42
-MAX_BROADCAST = 1_000_000  # blocks, of about 30 bytes
+BLOCK = 32
+MAX_BLOCKS = 1 << 25  # slots that the driver steps through; more documents make longer blocks
+PIECES = 64  # of a source at least, so that a large one is spread over tasks
+MAX_BROADCAST = 1_000_000  # rows of about 40 bytes
 
 
 def shares(weights: dict, cycle: int) -> dict:
@@ -90,8 +99,9 @@ def schedule(blocks: dict, a: dict) -> dict:
     return out
 
 
-def mixed(docs: DataFrame, weights: dict | None = None, block: int = 32, cycle: int | None = None, piece: int = 50_000, power: float = 0.5, seed: int = 1) -> DataFrame:
-    """weights: by source; None: the counts of documents to the `power`. cycle: round the weights to shares of so many slots."""
+def mixed(docs: DataFrame, weights: dict | None = None, block: int | None = None, cycle: int | None = None, piece: int = 50_000, power: float = 0.5, seed: int = 1) -> DataFrame:
+    """weights: by source; None: the counts of documents to the `power`. block: documents a block; None: BLOCK, or as many as keep the schedule
+    under MAX_BLOCKS blocks. cycle: round the weights to shares of so many slots."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import LongType, StructType
@@ -101,33 +111,46 @@ def mixed(docs: DataFrame, weights: dict | None = None, block: int = 32, cycle:
     counts = {r[0]: r[1] for r in docs.groupBy("source").count().collect()}  # a row a source
     if not counts:
         return docs.withColumns({c: F.lit(None).cast("long") for c in ("mix_block", "mix_slot", "mix_position")})
+    block = block or max(BLOCK, -(-sum(counts.values()) // MAX_BLOCKS))
     given = weights or {s: n**power for s, n in counts.items()}
     low = min(given.values())
     target = {s: given.get(s, low) for s in counts}
     a = shares(target, max(cycle or FINE, len(target)))
-    blocks = {s: -(-n // block) for s, n in counts.items()}
-    slots = schedule(blocks, a)
+    slots = schedule({s: -(-n // block) for s, n in counts.items()}, a)
+    # helper columns, named unlike any of the input
+    order, part, rank, source, number, slot, start, before, n_parts = (shared.fresh(docs, c) for c in ("o", "p", "r", "s", "b", "t", "at", "before", "parts"))
     kind = docs.schema["source"].dataType
-    column = pa.chunked_array([pa.repeat(pa.scalar(s, to_arrow_type(kind)), len(x)) for s, x in slots.items()])
-    rows = pa.table({"_s": column, "_b": pa.array([i for x in slots.values() for i in range(len(x))], pa.int64()), "_t": pa.array([t for x in slots.values() for t in x], pa.int64())})
-    table = spark.createDataFrame(rows, StructType().add("_s", kind).add("_b", LongType()).add("_t", LongType()))
-    table = F.broadcast(table) if len(rows) <= MAX_BROADCAST else table
-    # number the documents of a source in hash order, piece by piece
-    order = docs.withColumn("_o", F.xxhash64(F.lit(seed), "doc_id", "text"))
-    n_pieces = {s: max(1, n // piece) for s, n in counts.items()}
-    n_of = F.coalesce(F.element_at(F.create_map(*(x for s, n in n_pieces.items() if s is not None for x in (F.lit(s), F.lit(n)))), F.col("source")), F.lit(n_pieces.get(None, 1))) if any(s is not None for s in n_pieces) else F.lit(n_pieces.get(None, 1))
-    least = max(max(n_pieces.values()), 64)
-    # pieces are ranges of the hash: at least 64 so that one large source is spread over tasks
-    order = order.withColumn("_p", F.floor((F.shiftrightunsigned("_o", 11).cast("double") / F.lit(float(1 << 53))) * F.greatest(n_of, F.least(F.lit(least), F.lit(64)))).cast("int"))
-    before = order.groupBy("source", "_p").count().withColumn("_before", F.sum("count").over(Window.partitionBy("source").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.select(F.col("source").alias("_s2"), F.col("_p").alias("_p2"), F.coalesce("_before", F.lit(0)).alias("_before"))
-    tie = [F.col(c) for c in ("_o", "doc_id", "text")]
-    ranked = order.withColumn("_r", F.row_number().over(Window.partitionBy("source", "_p").orderBy(*tie)) - 1)
-    ranked = ranked.join(F.broadcast(before), F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_p") == F.col("_p2")))
-    ranked = ranked.withColumn("_n", F.col("_before") + F.col("_r")).withColumn("mix_block", F.floor(F.col("_n") / block).cast("long"))
-    ranked = ranked.join(table, F.col("source").eqNullSafe(F.col("_s")) & (F.col("mix_block") == F.col("_b"))).withColumn("mix_slot", F.col("_t"))
-    # every block is full but the last of its source, so the place follows from the slot, less what short blocks before it lack
-    short = [(slots[s][-1], block - n % block) for s, n in counts.items() if n % block]
-    lack = sum((F.when(F.col("mix_slot") > at, F.lit(n)).otherwise(F.lit(0)) for at, n in short), F.lit(0))
-    ranked = ranked.withColumn("mix_position", (F.col("mix_slot") * block - lack + F.col("_n") % block).cast("long"))
+
+    def table(**cols) -> DataFrame:
+        """A row each, of the sources and longs; the columns are arrays."""
+        values = [pa.chunked_array([pa.repeat(pa.scalar(s, to_arrow_type(kind)), n) for s, n in cols.pop("sources")], to_arrow_type(kind)), *(pa.array(c, pa.int64()) for c in cols.values())]
+        schema = StructType().add(source, kind)
+        for c in cols:
+            schema = schema.add(c, LongType())
+        rows = spark.createDataFrame(pa.table(values, names=schema.names), schema)
+        return F.broadcast(rows) if len(values[0]) <= MAX_BROADCAST else rows
+
+    # a slot's first place: every block is full but the last of its source, so it is that of full blocks, less what short ones before it lack
+    lack = sorted((slots[s][-1], block - n % block) for s, n in counts.items() if n % block)
+    ends, less = [t for t, _ in lack], [0]
+    for _, n in lack:
+        less.append(less[-1] + n)
+    sched = table(sources=[(s, len(x)) for s, x in slots.items()], **{
+        number: [i for x in slots.values() for i in range(len(x))],
+        slot: [t for x in slots.values() for t in x],
+        start: [t * block - less[bisect.bisect_left(ends, t)] for x in slots.values() for t in x],
+    })
+    pieces = {s: max(PIECES, n // piece) for s, n in counts.items()}
+    of_source = table(sources=[(s, 1) for s in pieces], **{n_parts: list(pieces.values())})
+    # number the documents of a source in hash order, piece by piece; pieces are ranges of the hash
+    hashed = docs.withColumn(order, F.xxhash64(F.lit(seed), "doc_id", "text")).join(of_source, F.col("source").eqNullSafe(F.col(source))).drop(source)
+    hashed = hashed.withColumn(part, F.floor((F.shiftrightunsigned(order, 11).cast("double") / F.lit(float(1 << 53))) * F.col(n_parts)).cast("int")).drop(n_parts)
+    sums = hashed.groupBy(F.col("source").alias(source), F.col(part).alias(number)).agg(F.count(F.lit(1)).alias(rank))
+    sums = sums.withColumn(before, F.sum(rank).over(Window.partitionBy(source).orderBy(number).rowsBetween(Window.unboundedPreceding, -1))).select(source, number, F.coalesce(before, F.lit(0)).alias(before))
+    sums = F.broadcast(sums) if sum(pieces.values()) <= MAX_BROADCAST else sums
+    ranked = hashed.withColumn(rank, F.row_number().over(Window.partitionBy("source", part).orderBy(order, "doc_id", "text")) - 1)
+    ranked = ranked.join(sums, F.col("source").eqNullSafe(F.col(source)) & (F.col(part) == F.col(number))).drop(source, number)
+    ranked = ranked.withColumn(rank, F.col(before) + F.col(rank)).withColumn("mix_block", F.floor(F.col(rank) / block).cast("long"))
+    ranked = ranked.join(sched, F.col("source").eqNullSafe(F.col(source)) & (F.col("mix_block") == F.col(number)))
+    ranked = ranked.withColumn("mix_slot", F.col(slot)).withColumn("mix_position", (F.col(start) + F.col(rank) % block).cast("long"))
     return ranked.select(*docs.columns, "mix_block", "mix_slot", "mix_position")
