@@ -8,10 +8,11 @@ however far content moves them. Nested: the class of single tokens on the most p
 of other single classes keep their slots, and a round lies within one slot.
 Text that is itself a token of a valid class is template, not content, unless it stands in an <article>
 or <main>; all other text fills slots. Tags decide which slots are content: those in menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles or comments are
-dropped, by tag name, role or the words of class and id; the rest, within <article> and <main> where these hold any of it,
-is the main text. So on pages with such an <article> or <main> tags alone decide. An <article> that its class marks as a comment or teaser
-is dropped like other elements; one that nothing marks is taken at its word.
+forms, scripts, styles or comments are dropped, by tag name, role or the words of class and id; the rest, within <article> and <main>
+where these hold any of it, is the main text. So on pages with such an <article> or <main> tags alone decide. An <article> that its class
+marks as a comment or teaser is dropped like other elements; one that nothing marks is taken at its word. A <header> within an article is
+the article's own. Classes of a layout on an element around an article don't count against it if it is longer than all that is kept, nor does
+a layout's word within a name (search-algorithms) if nothing else is kept.
 
 Scale. An occurrence vector is never built: each (host, token) sums, over its pages, a hash of (page, count), so equal vectors have
 equal sums; order is the hash of a class's tokens on a page, the least and greatest of which must be equal. Both are
@@ -21,7 +22,8 @@ pages are joined with their host's template. Between, only 8 bytes a token of a
 
 Results of main_text: page_id, url, text, n_chars. Character references are decoded, white space inside a block is one space, blocks
 are joined by a newline. Null html gives an empty text; a null url is a host of its own, without a template. Rows are kept as they are,
-repeated page_ids included (their vectors add up); other columns are ignored. An empty table gives an empty result.
+repeated page_ids included (their vectors add up); other columns are ignored, whatever their names. Pages are read in linear time, malformed
+ones and very long or deep ones too. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ from pyspark.sql import functions as F
 from firelark.llm import shared
 
 MAX_TEMPLATE = 200_000  # rows of about 60 bytes that are broadcast
-TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# an unquoted < ends a tag that was not closed, and possessive repeats never go back, so the scan is linear
+TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 # HTML's raw text, void and block elements, and elements that never hold main text.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "xmp"}
@@ -46,53 +49,80 @@ DROP = {"nav", "footer", "aside", "form", "script", "style", "noscript", "templa
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form"}
 # Words of class and id names that mark what is not main text.
 WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promoted", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "sidebar", "aside", "widget", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "respond", "pagination", "pager", "toolbar", "search", "form", "skip", "tracking"}
+# Those of them that name what is no part of a page's layout, whatever is in it.
+ASIDE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promoted", "cookie", "cookies", "consent", "gdpr", "notice", "newsletter", "subscribe", "subscription", "signup", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "respond"}
 # The same for <article> alone, and first words of its classes that are passed over.
 TEASERS = {"teaser", "teasers"}
 TOPICS = {"category", "cat", "tag", "tags", "topic", "has", "no", "format", "status", "type"}
 # p, li, td, ... end when one of these begins
 ENDS = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
+ENDING = set().union(*ENDS.values())
 SCOPE = {"article", "main", "div", "section", "td", "ul", "ol", "table", "nav", "footer", "aside", "header", "form", "body", "html"}
 _NAME = re.compile(r"[a-zA-Z]+")
-_SPACE = re.compile(r"[\s​﻿]+")
+_SPACE = re.compile(r"\s+")
+KEPT, WEAK, LAYOUT, OUT = range(4)  # what speaks against a block: nothing, a word of a class, a class for parts of a layout, its tag or kind
 
 
-def boilerplate(tag: str, attrs: dict) -> bool:
-    if tag in DROP:
-        return True
-    if attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-        return True
+def boilerplate(tag: str, attrs: dict) -> int:
+    """What an element's tag and attributes say of what is in it. WEAK: a name of class or id has a layout's word, but ends in another
+    (search-algorithms); LAYOUT: it ends in one (site-footer)."""
+    if tag in DROP or attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+        return OUT
     if tag in ("main", "body", "html"):
-        return False
+        return KEPT
+    # names that begin so tell of topics, formats or what a page has elsewhere (category-social, has-sidebar), not of what the element is
+    names = [n for x in ("class", "id") for v in attrs.get(x, "").split() if (n := _NAME.findall(v.lower())) and n[0] not in TOPICS]
     if tag == "article":
-        # its classes also name its topics and format (category-social, has-sidebar), which say nothing of what it is
-        names = [_NAME.findall(x.lower()) for a in ("class", "id") for x in attrs.get(a, "").split()]
-        return any(w in WORDS or w in TEASERS for n in names if n and n[0] not in TOPICS for w in n)
-    return any(w.lower() in WORDS for a in ("class", "id") for w in _NAME.findall(attrs.get(a, "")))
+        return OUT if any(w in WORDS or w in TEASERS for n in names for w in n) else KEPT
+    if any(w in ASIDE for n in names for w in n):
+        return OUT
+    return LAYOUT if any(n[-1] in WORDS for n in names) else WEAK if any(w in WORDS for n in names for w in n) else KEPT
+
+
+class Block:
+    """A text block: its text, why it goes, whether it is in an <article> and in <main>, why it goes by that article or main and what is in it
+    alone, and its token."""
+
+    __slots__ = ("text", "why", "article", "main", "inner", "token")
+
+    def __init__(self, text, why, article, main, inner, token):
+        self.text, self.why, self.article, self.main, self.inner, self.token = text, why, article, main, inner, token
+
+
+def _digest(text: str) -> str:
+    import xxhash
+
+    return xxhash.xxh64_hexdigest(text)
 
 
 def blocks(page: str | None):
-    """(tokens, text blocks) of a page. Tokens: tags with path, in order. Blocks: (text, dropped by its tags, in article, in main,
-    token of the text)."""
+    """(tokens, text blocks) of a page. Tokens: tags with their path (a chain of hashes, as long for any depth), in order."""
     page = page or ""
-    stack: list[tuple[str, bool, str]] = []
+    # open elements: tag, why, in article, in main, inner, path, path of the nearest block
+    stack: list[tuple] = []
+    count: dict[str, int] = {}
     tokens: list[str] = []
-    out: list[tuple[str, bool, bool, bool, str]] = []
+    out: list[Block] = []
     text: list[str] = []
+    root = ("", KEPT, False, False, KEPT, "", "")
 
     def flush():
         if text:
             t = _SPACE.sub(" ", "".join(text)).strip()
             text.clear()
             if t:
-                names = [s[0] for s in stack]
-                path = next((s[2] for s in reversed(stack) if s[0] in BLOCK), "")
-                token = f"{path}#{t}"
-                tokens.append(token)
-                out.append((t, any(s[1] for s in stack), "article" in names, "main" in names, token))
+                _, why, article, main, inner, _, path = stack[-1] if stack else root
+                tokens.append(f"{path}#{t}")
+                out.append(Block(t, why, article, main, inner, tokens[-1]))
+
+    def close(to: int):
+        for x in stack[to:]:
+            count[x[0]] -= 1
+        del stack[to:]
 
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
     while at < n:
-        m = TAG.search(page, at)
+        m = TAG.search(page, at) if at <= last or page.find("<!", at) >= 0 else None
         if m is None or m.start() > at:
             text.append(entities.unescape(page[at : m.start() if m else n]))
         if m is None:
@@ -105,36 +135,45 @@ def blocks(page: str | None):
             if tag in BLOCK:
                 flush()
             # the end tag of an open element closes those within, but inline ones close no block
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag not in BLOCK and stack[i][0] in BLOCK or stack[i][0] in SCOPE and tag not in SCOPE:
-                    break
+            if count.get(tag):
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == tag:
+                        close(i)
+                        break
+                    if tag not in BLOCK and stack[i][0] in BLOCK or stack[i][0] in SCOPE and tag not in SCOPE:
+                        break
+            continue
+        if tag in RAW and tag != "svg":
+            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
+            at = end.end() if end else n
             continue
-        if tag in RAW:
-            if tag != "svg":
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else n
-                continue
         attrs = {k.lower(): a or b or c for k, a, b, c in ATTR.findall(m[3])} if m[3] else {}
         if "hidden" not in attrs and m[3] and re.search(r"(?:^|\s)hidden(?:\s|/|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", m[3])):
             attrs["hidden"] = ""
         if tag in BLOCK:
             flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if tag in ENDS.get(stack[i][0], ()):
-                    del stack[i:]
-                    break
-                if stack[i][0] in SCOPE or stack[i][0] in ("table", "ul", "ol", "dl"):
-                    break
-        if tag in ("article", "main", "section", "footer", "nav", "aside", "header", "div") and stack and stack[-1][0] not in BLOCK:
-            while stack and stack[-1][0] not in BLOCK:
-                stack.pop()
-        path = (stack[-1][2] if stack else "") + "/" + tag + "".join(f".{x}" for a in ("class", "id") for x in _NAME.findall(attrs.get(a, "")))
+            if tag in ENDING:
+                for i in range(len(stack) - 1, -1, -1):
+                    if tag in ENDS.get(stack[i][0], ()):
+                        close(i)
+                        break
+                    if stack[i][0] in SCOPE or stack[i][0] in ("table", "ul", "ol", "dl"):
+                        break
+        if tag in ("article", "main", "section", "footer", "nav", "aside", "header", "div"):
+            i = len(stack)
+            while i and stack[i - 1][0] not in BLOCK:
+                i -= 1
+            close(i)
+        _, why, article, main, inner, path, nearest = stack[-1] if stack else root
+        path = _digest(path + "/" + tag + "".join(f".{x}" for a in ("class", "id") for x in _NAME.findall(attrs.get(a, ""))))
         tokens.append(path)
         if tag not in VOID and not m[3].endswith("/"):
-            stack.append((tag, boilerplate(tag, attrs), path))
+            own = boilerplate(tag, attrs)
+            if tag == "header" and (article or main):
+                own = KEPT  # of the article, not of the page
+            starts = tag in ("article", "main") and not (article or main)
+            stack.append((tag, max(why, own), article or tag == "article", main or tag == "main", own if starts else max(inner, own), path, path if tag in BLOCK else nearest))
+            count[tag] = count.get(tag, 0) + 1
     flush()
     return tokens, out
 
@@ -142,11 +181,19 @@ def blocks(page: str | None):
 def extract(page: str | None, template: frozenset | set = frozenset()) -> str:
     """template: hashes of the text tokens of the host's valid classes."""
     _, found = blocks(page)
-    found = [b for b in found if not b[1]]
-    inside = [b for b in found if b[2] or b[3]] or found
+    kept = [b for b in found if b.why == KEPT]
+    # an article that only the layout of an element around it speaks against is the page's, if it is longer than all that is kept
+    within = [b for b in found if b.why in (WEAK, LAYOUT) and (b.article or b.main) and b.inner == KEPT]
+    if within and not any(b.article or b.main for b in kept) and _size(within) > _size(kept):
+        kept = within
+    kept = kept or [b for b in found if b.why == WEAK]
+    inside = [b for b in kept if b.article or b.main] or kept
     # what a page itself marks as its article stays, even a line that all pages of the host have
-    kept = [b[0] for b in inside if (b[2] or b[3] or not template or _hash(b[4]) not in template)]
-    return "\n".join(kept)
+    return "\n".join(b.text for b in inside if b.article or b.main or not template or _hash(b.token) not in template)
+
+
+def _size(found: list[Block]) -> int:
+    return sum(len(b.text) for b in found)
 
 
 def _hash(token: str, text: bool = True) -> int:
@@ -171,7 +218,7 @@ def _sequences(pages: DataFrame) -> DataFrame:
             for page_id, host, page in zip(*(c.to_pylist() for c in b.columns)):
                 if host:
                     tokens, found = blocks(page)
-                    texts = {f[4] for f in found}
+                    texts = {f.token for f in found}
                     ids.append(page_id or 0)
                     hosts.append(host)
                     seqs.append(np.array([_hash(t, t in texts) for t in tokens], np.int64).tobytes())
